@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringtally.operators.events import event_json
+from ringtally.operators.metrics import by_window, with_bounds
 from ringtally.schema import WATERMARK, Limits
 
 ANOMALY_COLUMNS = ("event_id", "msisdn", "anomaly_type", "anomaly_reason", "severity", "detected_at")
@@ -80,14 +81,12 @@ def frequent_subscribers(
     combined before the shuffle, so a very busy subscriber is one row per map task."""
     if events.isStreaming:
         events = events.withWatermark("timestamp", watermark)
-    counts = events.groupBy(F.window("timestamp", limits.rate_window), "msisdn").agg(
+    counts = by_window(events, limits.rate_window, ["msisdn"]).agg(
         F.count(F.lit(1)).alias("count_events")
     )
-    return counts.filter(F.col("count_events") > limits.events_per_window).select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "msisdn",
-        "count_events",
+    frequent = counts.filter(F.col("count_events") > limits.events_per_window)
+    return with_bounds(frequent, limits.rate_window).select(
+        "window_start", "window_end", "msisdn", "count_events"
     )
 
 

@@ -6,7 +6,7 @@ typed NULL. Rows without an event time belong to no window.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ringtally.functions.columns import mb_to_gb
@@ -28,6 +28,25 @@ def _watermarked(events: DataFrame, watermark: str | None) -> DataFrame:
     return events
 
 
+def by_window(events: DataFrame, size: str, keys: list[str], slide: str | None = None) -> GroupedData:
+    """Group by event-time window and key. A stream needs the whole window as the key, for
+    the watermark to close it; a batch groups tumbling windows by their start alone, which
+    makes a shorter key to hash and shuffle."""
+    window = F.window("timestamp", size, slide)
+    if slide is None and not events.isStreaming:
+        return events.groupBy(window["start"].alias("window_start"), *keys)
+    return events.groupBy(window, *keys)
+
+
+def with_bounds(grouped: DataFrame, size: str) -> DataFrame:
+    """Columns ``window_start`` and ``window_end``, whichever way windows were grouped."""
+    if "window" in grouped.columns:
+        return grouped.withColumns(
+            {"window_start": F.col("window.start"), "window_end": F.col("window.end")}
+        ).drop("window")
+    return grouped.withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {size}"))
+
+
 def window_partials(
     events: DataFrame,
     size: str,
@@ -42,25 +61,25 @@ def window_partials(
     """
     events = _watermarked(events, watermark)
     if slide is None or events.isStreaming or _seconds(size) % _seconds(slide):
-        return events.groupBy(F.window("timestamp", size, slide), *keys).agg(*usage_partials())
-    panes = events.groupBy(F.window("timestamp", slide).alias("pane"), *keys).agg(*usage_partials())
-    starts = panes.withColumn("pane_start", F.col("pane.start")).drop("pane")
-    return starts.groupBy(F.window("pane_start", size, slide), *keys).agg(*merged_partials())
+        return with_bounds(by_window(events, size, keys, slide).agg(*usage_partials()), size)
+    panes = by_window(events, slide, keys).agg(*usage_partials())
+    panes = panes.withColumnRenamed("window_start", "timestamp")
+    return with_bounds(by_window(panes, size, keys, slide).agg(*merged_partials()), size)
 
 
 def _null(kind: str) -> Column:
     return F.lit(None).cast(kind)
 
 
-def _metric_rows(partials: DataFrame, tag: str, start: Column, end: Column, **measures: Column):
+def _metric_rows(partials: DataFrame, tag: str, **measures: Column) -> DataFrame:
     """Project to the metrics layout."""
 
     def key(name: str) -> Column:
         return F.col(name) if name in partials.columns else _null("string")
 
     return partials.select(
-        start.alias("window_start"),
-        end.alias("window_end"),
+        "window_start",
+        "window_end",
         F.lit(tag).alias("metric_type"),
         key("region").alias("region"),
         key("event_type").alias("event_type"),
@@ -99,9 +118,7 @@ def event_type_metrics(
 ) -> DataFrame:
     """Counts, totals and averages by type and subtype."""
     partials = window_partials(events, size, ["event_type", "event_subtype"], slide, watermark)
-    return _metric_rows(
-        partials, tag, F.col("window.start"), F.col("window.end"), **_totals(), **_averages()
-    )
+    return _metric_rows(partials, tag, **_totals(), **_averages())
 
 
 def regional_metrics(
@@ -113,7 +130,7 @@ def regional_metrics(
 ) -> DataFrame:
     """Counts and totals by region and type."""
     partials = window_partials(events, size, ["region", "event_type"], slide, watermark)
-    return _metric_rows(partials, tag, F.col("window.start"), F.col("window.end"), **_totals())
+    return _metric_rows(partials, tag, **_totals())
 
 
 def conditional_metrics(
@@ -135,9 +152,7 @@ def conditional_metrics(
     def calls(way: str) -> Column:
         return F.sum(F.when(is_call, F.when(direction == way, 1).otherwise(0)))
 
-    groups = _watermarked(events, watermark).groupBy(
-        F.window("timestamp", size, slide), "event_type", "region"
-    )
+    groups = by_window(_watermarked(events, watermark), size, ["event_type", "region"], slide)
     extra = {
         "incoming_calls": calls("incoming"),
         "outgoing_calls": calls("outgoing"),
@@ -150,10 +165,8 @@ def conditional_metrics(
         *[measure.alias(name) for name, measure in extra.items() if call_counts],
     )
     return _metric_rows(
-        sums,
+        with_bounds(sums, size),
         tag,
-        F.col("window.start"),
-        F.col("window.end"),
         data_gb=mb_to_gb(F.col("session_mb")),
         amount=F.col("recharged"),
         avg_data=mean(F.col("session_mb"), F.col("n_events")),
@@ -169,4 +182,5 @@ def cumulative_metrics(
     small fixed set, so the state that is kept for good stays small."""
     stamp = F.current_timestamp() if as_of is None else as_of
     partials = events.groupBy("event_type", "region").agg(*usage_partials())
-    return _metric_rows(partials, tag, stamp, stamp, **_totals(), **_averages())
+    stamped = partials.withColumns({"window_start": stamp, "window_end": stamp})
+    return _metric_rows(stamped, tag, **_totals(), **_averages())

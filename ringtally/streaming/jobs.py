@@ -80,17 +80,13 @@ def start_streams(
     return queries
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Wait until every query has ended; if one fails, stop the others and raise."""
+def await_all(queries: list[StreamingQuery], poll_seconds: float = 0.5) -> None:
+    """Wait until every query has ended; if one fails, stop the others and raise its error.
+    Other queries of the session are left alone."""
     waiting = list(queries)
     try:
         while waiting:
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
-            for query in [q for q in waiting if not q.isActive]:
-                if query.exception():
-                    raise query.exception()
-                waiting.remove(query)
+            waiting = [q for q in waiting if not q.awaitTermination(poll_seconds)]
     finally:
         for query in queries:
             if query.isActive:
