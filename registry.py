@@ -6,7 +6,9 @@ decimals as doubles, dates as text, timestamps without zone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,17 +26,17 @@ from ringtally.streaming.jobs import drain
 
 
 def plain(frame: DataFrame, *without: str) -> DataFrame:
-    def shown(field: T.StructField) -> Column:
-        column = F.col(field.name)
+    def shown(field: T.StructField) -> str:
+        name = f"`{field.name}`"
         if isinstance(field.dataType, T.DecimalType):
-            column = column.cast("double")
-        elif isinstance(field.dataType, T.DateType):
-            column = column.cast("string")
-        elif isinstance(field.dataType, T.TimestampType):
-            column = column.cast("timestamp_ntz")
-        return column.alias(field.name)
+            return f"CAST({name} AS DOUBLE) AS {name}"
+        if isinstance(field.dataType, T.DateType):
+            return f"CAST({name} AS STRING) AS {name}"
+        if isinstance(field.dataType, T.TimestampType):
+            return f"CAST({name} AS TIMESTAMP_NTZ) AS {name}"
+        return name
 
-    return frame.select(*[shown(f) for f in frame.schema.fields if f.name not in without])
+    return frame.selectExpr(*[shown(f) for f in frame.schema.fields if f.name not in without])
 
 
 def table_rows(frame: DataFrame, table: str) -> DataFrame:
@@ -42,18 +44,28 @@ def table_rows(frame: DataFrame, table: str) -> DataFrame:
     return plain(conform(frame, table), "created_at")
 
 
-def stored(spark: SparkSession, folder: str) -> reports.Tables:
-    """The five tables, all derived from the events. Time of detection is event time here, so
-    that results do not depend on the clock."""
-    events = usage_events(spark, folder)
-    partials = ru.hourly_partials(events)
-    return reports.Tables(
-        raw_events=events,
-        anomalies=an.find_anomalies(events, detected_at=F.col("timestamp")),
-        daily_stats=conform(ru.daily_stats(partials), "daily_stats"),
-        hourly_stats=conform(ru.hourly_stats(partials), "hourly_stats"),
-        real_time_metrics=conform(mt.conditional_metrics(events), "real_time_metrics"),
-    )
+class Derived:
+    """The five tables, each derived from the events when a report asks for it. Time of
+    detection is event time here, so that results do not depend on the clock."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.raw_events = usage_events(spark, folder)
+
+    @cached_property
+    def anomalies(self) -> DataFrame:
+        return an.find_anomalies(self.raw_events, detected_at=F.col("timestamp"))
+
+    @cached_property
+    def daily_stats(self) -> DataFrame:
+        return conform(ru.daily_stats(ru.hourly_partials(self.raw_events)), "daily_stats")
+
+    @cached_property
+    def hourly_stats(self) -> DataFrame:
+        return conform(ru.hourly_stats(ru.hourly_partials(self.raw_events)), "hourly_stats")
+
+    @cached_property
+    def real_time_metrics(self) -> DataFrame:
+        return conform(mt.conditional_metrics(self.raw_events), "real_time_metrics")
 
 
 def _metrics(build):
@@ -61,7 +73,7 @@ def _metrics(build):
 
 
 def _report(build):
-    return lambda spark, folder: plain(build(stored(spark, folder)))
+    return lambda spark, folder: plain(build(Derived(spark, folder)))
 
 
 def conditional(spark, folder):
@@ -121,17 +133,17 @@ def high_frequency(spark, folder):
 
 
 def anomaly_rate(spark, folder):
-    tables = stored(spark, folder)
+    tables = Derived(spark, folder)
     rate = an.anomaly_rate(tables.raw_events, tables.anomalies)
     return rate.select(F.round("anomaly_rate_percent", 6).alias("anomaly_rate_percent"))
 
 
 def daily_stats(spark, folder):
-    return plain(stored(spark, folder).daily_stats, "created_at")
+    return plain(Derived(spark, folder).daily_stats, "created_at")
 
 
 def hourly_stats(spark, folder):
-    return plain(stored(spark, folder).hourly_stats, "created_at")
+    return plain(Derived(spark, folder).hourly_stats, "created_at")
 
 
 def daily_stats_extended(spark, folder):
@@ -170,6 +182,14 @@ def subscriber_partitions(spark, folder):
     )
 
 
+def quality_gate(spark, folder):
+    """As if each event had been loaded two days after it happened."""
+    tables = Derived(spark, folder)
+    loaded = (F.col("timestamp") + F.expr("INTERVAL 2 DAYS")).alias("created_at")
+    tables.raw_events = tables.raw_events.select("*", loaded)
+    return quality.quality_gate(tables)
+
+
 def _stream(build, mode="append", table=None):
     def query(spark, folder):
         result = drain(spark, build(usage_stream(spark, folder)), mode)
@@ -232,12 +252,16 @@ REGISTERED = {
     "event_mix": _report(reports.event_mix),
     "hour_weight": _report(reports.hourly_load),
     # checks
-    "quality_gate": _report(quality.quality_gate),
+    "quality_gate": quality_gate,
     "verify_results": _report(quality.verify_results),
     "retention_kept": _report(quality.retention_kept),
     # streams, run over what the source holds
     "stream_metrics_5min": _stream(mt.event_type_metrics, table="real_time_metrics"),
     "stream_metrics_10min": _stream(mt.regional_metrics, table="real_time_metrics"),
+    "stream_metrics_conditional": _stream(mt.conditional_metrics, table="real_time_metrics"),
+    "stream_high_frequency": _stream(
+        lambda e: an.frequent_subscribers(e, Limits(events_per_window=1))
+    ),
     "stream_cumulative": stream_cumulative,
     "stream_anomalies": _stream(lambda e: an.find_anomalies(e, detected_at=F.col("timestamp"))),
     "stream_dedup": _stream(lambda e: ev.drop_repeats(ev.validate(with_faults(e)))),

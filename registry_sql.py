@@ -417,7 +417,8 @@ ORACLE = {
     ),
     "quality_gate": report(
         f"""SELECT count(*) AS total_events,
-          count(*) FILTER (WHERE event_time >= {TODAY} - INTERVAL '7 days') AS recent_events,
+          count(*) FILTER (WHERE event_time >= {TODAY} - INTERVAL '7 days'
+            OR event_time + INTERVAL '2 days' >= {TODAY} - INTERVAL '7 days') AS recent_events,
           count(*) >= 100 AS passed
         FROM usage"""
     ),
@@ -432,6 +433,18 @@ ORACLE = {
     ),
     "stream_metrics_5min": window_metrics(5, "event_type_5min", TYPE_KEYS, AVERAGES, closed(5)),
     "stream_metrics_10min": window_metrics(10, "regional_10min", REGION_KEYS, NO_AVERAGES, closed(10)),
+    "stream_metrics_conditional": report(
+        f"""SELECT * EXCLUDE (incoming_calls, outgoing_calls, sms_count),
+          CAST(NULL AS DOUBLE) AS avg_duration_seconds FROM conditional
+        WHERE window_end <= {NOW} - INTERVAL '1 minute'""",
+        CONDITIONAL,
+    ),
+    "stream_high_frequency": report(
+        f"""SELECT window_start, window_start + INTERVAL '5 minutes' AS window_end, msisdn, count_events
+        FROM (SELECT time_bucket(INTERVAL '5 minutes', event_time) AS window_start, msisdn,
+                count(*) AS count_events FROM usage GROUP BY ALL)
+        WHERE count_events > 1 AND window_start + INTERVAL '6 minutes' <= {NOW}"""
+    ),
     "stream_cumulative": report(
         f"""SELECT 'batch_metrics' AS metric_type, region, event_type,
           CAST(NULL AS VARCHAR) AS event_subtype, {TOTALS}, {AVERAGES}

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ringtally.schema import TABLES
 
@@ -12,13 +11,13 @@ def conform(frame: DataFrame, table: str) -> DataFrame:
     """The table's columns in its order and types; decimals are rounded half up, a missing
     ``created_at`` is the load time, any other missing column is NULL. A value that does not
     fit its type is an error: ``split_by_rules`` keeps such events out."""
-    columns = []
-    for name, kind in TABLES[table].columns.items():
-        if name in frame.columns:
-            value = F.col(name)
-        elif name == "created_at":
-            value = F.current_timestamp()
-        else:
-            value = F.lit(None)
-        columns.append(value.cast(kind).alias(name))
-    return frame.select(*columns)
+    present = set(frame.columns)
+
+    def source(name: str) -> str:
+        if name in present:
+            return f"`{name}`"
+        return "current_timestamp()" if name == "created_at" else "NULL"
+
+    return frame.selectExpr(
+        *[f"CAST({source(n)} AS {kind}) AS `{n}`" for n, kind in TABLES[table].columns.items()]
+    )

@@ -17,8 +17,8 @@ from ringtally.session import scratch_path
 from ringtally.sources.store import Store
 from ringtally.streaming.sinks import Sink, archive_sink, table_sink
 
-# Seconds between micro-batches (the original rates). Every archive batch makes files, so a
-# busy source is better served by minutes.
+# Time between micro-batches. Every archive batch makes files in its own folder, so a busy
+# source is better served by minutes.
 ARCHIVE_EVERY = "5 seconds"
 METRICS_EVERY = "10 seconds"
 
@@ -63,6 +63,8 @@ def start_streams(
     limits: Limits = Limits(),
     continuous: bool = True,
     validated: bool = True,
+    archive_every: str = ARCHIVE_EVERY,
+    metrics_every: str = METRICS_EVERY,
 ) -> list[StreamingQuery]:
     """Fan one stream of decoded events out. Each query reads the source on its own and has
     its own checkpoint; raw events and anomalies share one. ``validated=False`` lets the
@@ -70,11 +72,11 @@ def start_streams(
     queries = []
     for name in streams:
         if name == "archive":
-            sink, frame, mode, every = archive_sink(store, limits), events, "append", ARCHIVE_EVERY
+            sink, frame, mode, every = archive_sink(store, limits), events, "append", archive_every
         else:
             metric, mode = METRICS[name]
             counted = exact_amounts(validate(events) if validated else events)
-            frame, every = metric(counted), METRICS_EVERY
+            frame, every = metric(counted), metrics_every
             sink = table_sink(store, "real_time_metrics", keyed=True)
         queries.append(start(frame, sink, name, checkpoint, mode, every if continuous else None))
     return queries

@@ -55,6 +55,13 @@ def test_decode_keeps_broker_time(spark):
     assert row.kafka_timestamp == at(0) and row.timestamp == WIRE["timestamp"]
 
 
+def test_text_is_parsed_once_per_message(spark):
+    sent = messages(spark, json.dumps(WIRE))
+    checked = ev.exact_amounts(ev.validate(ev.with_event_time(ev.decode(sent))))
+    optimized = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("from_json") == 1
+
+
 TIMES = [
     "2024-03-10T12:00:00Z",
     "2024-03-10T12:00:00.123Z",
