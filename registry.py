@@ -1,7 +1,8 @@
 """Every operator as a query over the test tables.
 
 Results are shown in plain types, so that two engines can be compared value by value:
-decimals as doubles, dates as text, timestamps without zone.
+decimals, and whole numbers that may be NULL, as doubles; dates as text; timestamps without
+zone.
 """
 
 from __future__ import annotations
@@ -25,10 +26,20 @@ from ringtally.sources.sample import usage_events, usage_stream, wire_events, wi
 from ringtally.streaming.jobs import drain
 
 
+NULLABLE_NUMBERS = (
+    "duration_seconds",
+    "total_duration_seconds",
+    "total_call_duration",
+    "max_call_duration",
+    "incoming_calls",
+    "outgoing_calls",
+)
+
+
 def plain(frame: DataFrame, *without: str) -> DataFrame:
     def shown(field: T.StructField) -> str:
         name = f"`{field.name}`"
-        if isinstance(field.dataType, T.DecimalType):
+        if isinstance(field.dataType, T.DecimalType) or field.name in NULLABLE_NUMBERS:
             return f"CAST({name} AS DOUBLE) AS {name}"
         if isinstance(field.dataType, T.DateType):
             return f"CAST({name} AS STRING) AS {name}"

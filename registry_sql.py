@@ -68,13 +68,13 @@ def double(expr: str) -> str:
 
 
 EVENT_COLUMNS = (
-    "event_id, msisdn, event_type, event_subtype, duration_seconds,"
+    "event_id, msisdn, event_type, event_subtype, CAST(duration_seconds AS DOUBLE) AS duration_seconds,"
     " CAST(data_mb AS DOUBLE) AS data_mb, CAST(amount AS DOUBLE) AS amount, region, cell_tower_id,"
     " event_time AS timestamp"
 )
 
 TOTALS = f"""count(*) AS count_events,
-  CAST(coalesce(SUM(duration_seconds), 0) AS BIGINT) AS total_duration_seconds,
+  CAST(coalesce(SUM(duration_seconds), 0) AS DOUBLE) AS total_duration_seconds,
   {half_up(f"coalesce({cents('data_mb')}, 0)", "102400", 4)} AS total_data_gb,
   {double("coalesce(SUM(amount), 0)")} AS total_amount"""
 AVERAGES = f"""
@@ -137,10 +137,10 @@ daily AS (
     count(*) FILTER (WHERE event_type = 'call') AS total_calls,
     count(*) FILTER (WHERE event_type = 'sms') AS total_sms,
     count(*) FILTER (WHERE event_type = 'data_session') AS total_data_sessions,
-    CAST(SUM(duration_seconds) FILTER (WHERE event_type = 'call') AS BIGINT) AS total_call_duration,
+    CAST(SUM(duration_seconds) FILTER (WHERE event_type = 'call') AS DOUBLE) AS total_call_duration,
     CASE WHEN event_type = 'call' THEN
       {half_up("SUM(duration_seconds)", "count(duration_seconds)", 2)} END AS avg_call_duration,
-    MAX(duration_seconds) FILTER (WHERE event_type = 'call') AS max_call_duration,
+    CAST(MAX(duration_seconds) FILTER (WHERE event_type = 'call') AS DOUBLE) AS max_call_duration,
     SUM(data_mb) AS total_data_mb,
     {half_up(cents("data_mb"), "100 * count(data_mb)", 2)} AS avg_data_mb,
     MAX(data_mb) AS max_data_mb,
@@ -163,16 +163,16 @@ conditional AS (
   SELECT time_bucket(INTERVAL '5 minutes', event_time) AS window_start,
     time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' AS window_end,
     '5min' AS metric_type, region, event_type, CAST(NULL AS VARCHAR) AS event_subtype,
-    count(*) AS count_events, CAST(NULL AS BIGINT) AS total_duration_seconds,
+    count(*) AS count_events, CAST(NULL AS DOUBLE) AS total_duration_seconds,
     {half_up(f"coalesce({cents('data_mb')} FILTER (WHERE event_type = 'data_session'), 0)", "102400", 4)}
       AS total_data_gb,
     {double("coalesce(SUM(amount) FILTER (WHERE event_type = 'balance_recharge'), 0)")} AS total_amount,
     {half_up(f"coalesce({cents('data_mb')} FILTER (WHERE event_type = 'data_session'), 0)",
              "100 * count(*)", 2)} AS avg_data_mb,
     CASE WHEN event_type = 'call' THEN
-      count(*) FILTER (WHERE event_subtype = 'incoming') END AS incoming_calls,
+      CAST(count(*) FILTER (WHERE event_subtype = 'incoming') AS DOUBLE) END AS incoming_calls,
     CASE WHEN event_type = 'call' THEN
-      count(*) FILTER (WHERE event_subtype = 'outgoing') END AS outgoing_calls,
+      CAST(count(*) FILTER (WHERE event_subtype = 'outgoing') AS DOUBLE) END AS outgoing_calls,
     count(*) FILTER (WHERE event_type = 'sms') AS sms_count
   FROM usage GROUP BY time_bucket(INTERVAL '5 minutes', event_time), region, event_type)"""
 
