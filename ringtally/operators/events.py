@@ -116,18 +116,28 @@ def rule_counts(events: DataFrame) -> DataFrame:
     return totals.unpivot([], list(rules), "rule", "n_rows")
 
 
-def drop_repeats(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Keep one row per ``event_id``.
+def drop_repeats(events: DataFrame, watermark: str = WATERMARK, spread: int = 16) -> DataFrame:
+    """Keep one row per ``event_id``, also where one id holds a large part of all rows.
+
+    A batch keeps the copy with the earliest time; copies are combined before the shuffle, so
+    an id moves at most once per map task.
 
     A stream forgets an id once the watermark has passed it, so its state stays bounded;
-    repeats must arrive within the watermark delay of the first copy. A batch keeps the copy
-    with the earliest time. Copies are combined before the shuffle, so an id that holds a
-    large part of all rows moves once per map task.
+    repeats must arrive within the watermark delay of the first copy. It cannot combine before
+    a shuffle, so copies are first thinned out in ``spread`` groups per id, picked at random,
+    and what is left, at most ``spread`` rows per id, is thinned out again. ``spread=1`` saves
+    the first step where no id has many copies.
     """
     if events.isStreaming:
-        return events.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(
-            ["event_id"]
-        )
+        marked = events.withWatermark("timestamp", watermark)
+        if spread > 1:
+            group = F.floor(F.rand() * spread).cast("int")
+            marked = (
+                marked.withColumn("copy_group", group)
+                .dropDuplicatesWithinWatermark(["event_id", "copy_group"])
+                .drop("copy_group")
+            )
+        return marked.dropDuplicatesWithinWatermark(["event_id"])
     rest = ["timestamp"] + [c for c in events.columns if c not in ("event_id", "timestamp")]
     first = events.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("first"))
     return first.select(

@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
         **{
             "spark.master": "local[8]",
             "spark.driver.memory": "6g",
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         },

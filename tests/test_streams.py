@@ -103,6 +103,9 @@ def test_restart_continues_without_repeats(spark, store, inbox, folder):
     inbox.put(wire("c", at(7)))
     await_all(start_streams(inbox.stream(spark), store, folder + "/cp", names, continuous=False))
     assert ids(store.read("raw_events")) == ["a", "b", "c"]
+    loads = {r.load_id.rpartition("-") for r in store.read("raw_events").collect()}
+    assert {batch for _, _, batch in loads} == {"0", "1"}
+    assert len({query for query, _, _ in loads}) == 1 and "None" not in str(loads)
     assert ids(store.read("anomalies")) == ["a"]
     assert [r.count_events for r in store.read("real_time_metrics").collect()] == [2]
 
@@ -149,11 +152,12 @@ def test_sliding_stream(spark, inbox):
     assert {r.window_start: r.count_events for r in got.collect()} == {at(-5): 1, at(0): 2, at(5): 1}
 
 
-def test_repeats_across_batches_then_windows(spark, inbox):
-    inbox.put(wire("a", at(0)), wire("a", at(0)), wire("b", at(0.2)))
-    inbox.put(wire("a", at(0.1)), wire("c", at(0.5)))
+@pytest.mark.parametrize("spread", [1, 16])
+def test_repeats_across_batches_then_windows(spark, inbox, spread):
+    inbox.put(*[wire("a", at(0))] * 200, wire("b", at(0.2)))
+    inbox.put(*[wire("a", at(0.1))] * 50, wire("c", at(0.5)))
     inbox.put(wire("end", at(30)))
-    once = ev.drop_repeats(ev.exact_amounts(inbox.stream(spark)))
+    once = ev.drop_repeats(ev.exact_amounts(inbox.stream(spark)), spread=spread)
     got = drain(spark, event_type_metrics(once, watermark=None))
     assert {r.window_start: r.count_events for r in got.collect()} == {at(0): 3}
 
