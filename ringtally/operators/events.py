@@ -16,7 +16,14 @@ from ringtally.functions.columns import (
     parse_time,
     wire_time,
 )
-from ringtally.schema import EVENT_FIELDS, EVENT_TYPES, WATERMARK, WIRE_EVENT
+from ringtally.schema import (
+    EVENT_FIELDS,
+    EVENT_TYPES,
+    RUN_STATUSES,
+    SEVERITIES,
+    WATERMARK,
+    WIRE_EVENT,
+)
 
 MONEY = "decimal(18,2)"
 
@@ -78,41 +85,55 @@ def exact_amounts(events: DataFrame) -> DataFrame:
     )
 
 
-def table_rules() -> dict[str, Column]:
-    """What the ``raw_events`` table refuses, by rule. Every condition is TRUE or FALSE."""
+def table_rules(table: str = "raw_events") -> dict[str, Column]:
+    """What a table refuses, by rule. Every condition is TRUE or FALSE."""
     too_large = F.lit(10**8)  # DECIMAL(10,2) ends below this
+
+    def outside(name: str, allowed: tuple[str, ...]) -> Column:
+        return ~F.col(name).isin(*allowed) | F.col(name).isNull()
+
     rules = {
-        "event_id_missing": F.col("event_id").isNull(),
-        "msisdn_missing": F.col("msisdn").isNull() | (F.col("msisdn") == ""),
-        "event_type_unknown": ~F.col("event_type").isin(*EVENT_TYPES) | F.col("event_type").isNull(),
-        "timestamp_missing": F.col("timestamp").isNull(),
-        "duration_negative": F.col("duration_seconds") < 0,
-        "data_negative": F.col("data_mb") < 0,
-        "amount_negative": F.col("amount") < 0,
-        "data_out_of_range": F.col("data_mb") >= too_large,
-        "amount_out_of_range": F.col("amount") >= too_large,
-    }
+        "raw_events": lambda: {
+            "event_id_missing": F.col("event_id").isNull(),
+            "msisdn_missing": F.col("msisdn").isNull() | (F.col("msisdn") == ""),
+            "event_type_unknown": outside("event_type", EVENT_TYPES),
+            "timestamp_missing": F.col("timestamp").isNull(),
+            "duration_negative": F.col("duration_seconds") < 0,
+            "data_negative": F.col("data_mb") < 0,
+            "amount_negative": F.col("amount") < 0,
+            "data_out_of_range": F.col("data_mb") >= too_large,
+            "amount_out_of_range": F.col("amount") >= too_large,
+        },
+        "anomalies": lambda: {
+            "event_id_missing": F.col("event_id").isNull(),
+            "anomaly_type_missing": F.col("anomaly_type").isNull(),
+            "anomaly_reason_missing": F.col("anomaly_reason").isNull(),
+            "severity_unknown": outside("severity", SEVERITIES),
+        },
+        "pipeline_monitoring": lambda: {"status_unknown": outside("status", RUN_STATUSES)},
+    }[table]()
     return {name: F.coalesce(broken, F.lit(False)) for name, broken in rules.items()}
 
 
-def broken_rules() -> Column:
+def broken_rules(table: str = "raw_events") -> Column:
     """Names of the rules a row breaks, joined by commas; empty for a good row."""
-    return F.concat_ws(",", *[F.when(broken, name) for name, broken in table_rules().items()])
+    return F.concat_ws(",", *[F.when(broken, name) for name, broken in table_rules(table).items()])
 
 
 def split_by_rules(
-    events: DataFrame, tolerated: tuple[str, ...] = ()
+    rows: DataFrame, tolerated: tuple[str, ...] = (), table: str = "raw_events"
 ) -> tuple[DataFrame, DataFrame]:
     """Good rows, and refused rows with their ``broken_rules``. A row that breaks only
     tolerated rules is good."""
-    refuse = reduce(or_, [broken for name, broken in table_rules().items() if name not in tolerated])
-    return events.filter(~refuse), events.filter(refuse).withColumn("broken_rules", broken_rules())
+    rules = table_rules(table)
+    refuse = reduce(or_, [broken for name, broken in rules.items() if name not in tolerated])
+    return rows.filter(~refuse), rows.filter(refuse).withColumn("broken_rules", broken_rules(table))
 
 
-def rule_counts(events: DataFrame) -> DataFrame:
+def rule_counts(rows: DataFrame, table: str = "raw_events") -> DataFrame:
     """Rows breaking each rule, zeros included: one pass, one row, then turned on its side."""
-    rules = table_rules()
-    totals = events.agg(*[F.count_if(broken).alias(name) for name, broken in rules.items()])
+    rules = table_rules(table)
+    totals = rows.agg(*[F.count_if(broken).alias(name) for name, broken in rules.items()])
     return totals.unpivot([], list(rules), "rule", "n_rows")
 
 
@@ -131,7 +152,8 @@ def drop_repeats(events: DataFrame, watermark: str = WATERMARK, spread: int = 16
     if events.isStreaming:
         marked = events.withWatermark("timestamp", watermark)
         if spread > 1:
-            group = F.floor(F.rand() * spread).cast("int")
+            # A fixed seed: a task that is run again marks its rows the same way.
+            group = F.floor(F.rand(seed=17) * spread).cast("int")
             marked = (
                 marked.withColumn("copy_group", group)
                 .dropDuplicatesWithinWatermark(["event_id", "copy_group"])

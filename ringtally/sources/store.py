@@ -30,6 +30,13 @@ class Store:
         where = jvm.org.apache.hadoop.fs.Path(path)
         return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), where
 
+    @staticmethod
+    def _day_column(table: str) -> str:
+        for name, (kind, _) in TABLES[table].partitions.items():
+            if kind == "date":
+                return name
+        raise ValueError(f"{table} is not stored by day")
+
     def create(self) -> "Store":
         for table in TABLES:
             fs, where = self._files(self.path(table))
@@ -42,7 +49,7 @@ class Store:
 
     def read_days(self, table: str, first: Date, last: Date) -> DataFrame:
         """Only the folders of these days are listed and read, however long the history."""
-        day = next(iter(TABLES[table].partitions))
+        day = self._day_column(table)
         present = [
             f"{self.path(table)}/{day}={d}" for d in _days(first, last) if self.has_day(table, d)
         ]
@@ -55,7 +62,7 @@ class Store:
         )
 
     def has_day(self, table: str, day: Date) -> bool:
-        column = next(iter(TABLES[table].partitions))
+        column = self._day_column(table)
         fs, where = self._files(f"{self.path(table)}/{column}={day}")
         return fs.exists(where)
 
@@ -100,7 +107,7 @@ class Store:
 
     def days(self, table: str) -> list[Date]:
         """Days that have a folder: one name per day, no data is read."""
-        column = next(iter(TABLES[table].partitions))
+        column = self._day_column(table)
         fs, where = self._files(self.path(table))
         if not fs.exists(where):
             return []
@@ -110,7 +117,7 @@ class Store:
 
     def drop_days(self, table: str, days: list[Date]) -> list[Date]:
         """Remove whole day folders."""
-        column = next(iter(TABLES[table].partitions))
+        column = self._day_column(table)
         for day in days:
             fs, where = self._files(f"{self.path(table)}/{column}={day}")
             fs.delete(where, True)

@@ -32,8 +32,9 @@ def log_run(
     store.load("pipeline_monitoring", store.spark.createDataFrame([row], COLUMNS))
 
 
-def log_stream(store: Store, query) -> None:
-    """Log what a streaming query reports about its recent batches."""
+def log_stream(store: Store, query, failed: int = 0) -> None:
+    """Log what a streaming query reports about its recent batches; ``failed`` is the number
+    of quarantined rows, where the caller counts them."""
     batches = query.recentProgress
     failure = query.exception()
     log_run(
@@ -42,7 +43,7 @@ def log_stream(store: Store, query) -> None:
         kind="streaming",
         status="failed" if failure else "running" if query.isActive else "completed",
         processed=sum(int(b["numInputRows"]) for b in batches),
-        failed=0,
+        failed=failed,
         seconds=sum(int(b["durationMs"].get("triggerExecution", 0)) for b in batches) // 1000,
         error=str(failure) if failure else None,
         started=_time(batches[0]["timestamp"]) if batches else datetime.now(timezone.utc),

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from ringtally.operators.anomalies import anomaly_rate, find_anomalies, frequent_subscribers
+from ringtally.operators.events import rule_counts, split_by_rules
 from ringtally.operators.metrics import cumulative_metrics
 from ringtally.schema import Limits
 from tests.rows import at, event, frame
@@ -70,3 +71,17 @@ def test_cumulative_is_stamped_now(spark):
     row = cumulative_metrics(frame(spark, event("x", duration_seconds=10))).first()
     assert row.window_start == row.window_end and row.metric_type == "batch_metrics"
     assert row.total_duration_seconds == 10 and row.avg_data_mb is None
+
+
+def test_table_refuses_unknown_severity_and_status(spark):
+    found = find_anomalies(frame(spark, *[event(f"x{i}", duration_seconds=20000) for i in range(4)]))
+    graded = found.withColumn(
+        "severity", F.element_at(F.array(*map(F.lit, ("low", "critical", "grave", None))), F.substring("event_id", 2, 1).cast("int") + 1)
+    )
+    good, refused = split_by_rules(graded, table="anomalies")
+    assert sorted(r.event_id for r in good.collect()) == ["x0", "x1"]
+    assert {r.broken_rules for r in refused.collect()} == {"severity_unknown"}
+    counts = {r.rule: r.n_rows for r in rule_counts(graded, "anomalies").collect()}
+    assert counts["severity_unknown"] == 2 and counts["anomaly_type_missing"] == 0
+    runs = spark.sql("SELECT explode(array('running', 'done', NULL)) AS status")
+    assert rule_counts(runs, "pipeline_monitoring").first().n_rows == 2

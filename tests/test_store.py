@@ -84,3 +84,9 @@ def test_one_large_day_is_written_as_several_files(spark, store):
     got = store.read("raw_events")
     assert got.count() == 200_000
     assert got.select(F.input_file_name().alias("f")).distinct().count() > 2
+
+
+def test_only_tables_by_day_expire(store):
+    with pytest.raises(ValueError):
+        store.expire("real_time_metrics", DAY, 3)
+    assert store.expire("anomalies", DAY, 3) == []
