@@ -34,11 +34,14 @@ def run_rollups(store: Store, first: Date, last: Date | None = None, extended: b
     last = last or first
     events = between_days(store.read_days("raw_events", first, last), first, last)
     partials = hourly_partials(events).persist(StorageLevel.MEMORY_AND_DISK)
+    # A few thousand rows a day: one file per day, many days side by side.
+    tasks = min((last - first).days + 1, store.spark.sparkContext.defaultParallelism)
     try:
-        store.load("hourly_stats", hourly_stats(partials))
-        store.load("daily_stats", daily_stats(partials))
+        store.load("hourly_stats", hourly_stats(partials), layout="repartition", tasks=tasks)
+        store.load("daily_stats", daily_stats(partials), layout="repartition", tasks=tasks)
         if extended:
-            store.load("daily_stats_extended", daily_stats_extended(events, partials))
+            rows = daily_stats_extended(events, partials)
+            store.load("daily_stats_extended", rows, layout="repartition", tasks=tasks)
     finally:
         partials.unpersist()
     # A day whose events are gone has no rows to replace its old rollup with.

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-TOPIC = "telecom_events"
+TOPIC = "usage_events"
 
 
 def kafka_source_options(

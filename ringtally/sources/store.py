@@ -72,6 +72,7 @@ class Store:
         frame: DataFrame,
         load_id: str | None = None,
         layout: str | None = "rebalance",
+        tasks: int | None = None,
     ) -> None:
         """Write ``frame``, replacing the partitions it has rows for.
 
@@ -79,9 +80,9 @@ class Store:
         same whenever it is tried again.
 
         ``layout``: ``rebalance`` lets AQE pack small partitions and split a large one into
-        files of even size; ``repartition`` brings each partition into one task, for rows of
-        a bounded number per partition (window results) where a stream has no AQE; None
-        writes the tasks as they are.
+        files of even size; ``repartition`` brings each partition into one of ``tasks`` tasks,
+        for results with a bounded number of rows per partition (rollups of a day, windows):
+        one file each, written side by side; None writes the tasks as they are.
         """
         spec = TABLES[table]
         if ("load_id" in spec.partitions) != (load_id is not None):
@@ -93,7 +94,7 @@ class Store:
         if layout == "rebalance" and spec.partitions:
             rows = rows.hint("rebalance", *spec.partitions)
         elif layout == "repartition" and spec.partitions:
-            rows = rows.repartition(*spec.partitions)
+            rows = rows.repartition(*[n for n in [tasks] if n], *spec.partitions)
         writer = rows.write.format("parquet")
         if spec.partitions:
             writer = (

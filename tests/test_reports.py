@@ -93,7 +93,7 @@ def test_broker_options():
     options = kafka_source_options("broker:9092", max_per_trigger=5, min_partitions=64)
     assert options == {
         "kafka.bootstrap.servers": "broker:9092",
-        "subscribe": "telecom_events",
+        "subscribe": "usage_events",
         "startingOffsets": "latest",
         "failOnDataLoss": "false",
         "maxOffsetsPerTrigger": "5",
