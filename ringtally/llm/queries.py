@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ringtally.llm import kd_sharding, mixing, quality_rules
+from ringtally.llm import byte_bpe, kd_sharding, language_mixture, mixing, quality_rules
 from ringtally.llm.common import table
 
 SHARDS = 40
 
 
+def tokenizer() -> tuple[str, str]:
+    """Rank file and pattern of the public byte-level tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def op4_kd_sharding(spark, folder):
     placed = kd_sharding.kd_shards(table(spark, folder, "documents"), SHARDS)
     return placed.select(
@@ -30,8 +37,22 @@ def op8_quality_rules(spark, folder):
     )
 
 
+def op9_byte_bpe(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return byte_bpe.digests(byte_bpe.round_trip(docs, *tokenizer()))
+
+
+def op10_language_mixture(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language_mixture.languages(docs).select(
+        "row.doc_id", "held_out", "lang_pred", "score", "mixture"
+    )
+
+
 QUERIES = {
     "op4_kd_sharding": op4_kd_sharding,
     "op6_mixing": op6_mixing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_byte_bpe": op9_byte_bpe,
+    "op10_language_mixture": op10_language_mixture,
 }
