@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringtally.llm.common import small_batches
+
 KEPT_PIECES = 300_000
 CELLS = 1 << 20  # of one matrix
 LONG = 256  # longer pieces are merged with a queue of pairs instead of a matrix row
@@ -240,6 +242,7 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Every document's ``ids`` and the bytes ``decoded`` from them, after its own columns
     (as struct ``row``). Documents may repeat or be NULL; an empty table gives none."""
+    small_batches(docs.sparkSession)
     encoded = docs.select(F.struct("*").alias("row"), encode(docs["text"], path, pattern).alias("ids"))
     return encoded.withColumn("decoded", decode(encoded["ids"], path, pattern))
 

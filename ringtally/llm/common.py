@@ -34,3 +34,8 @@ def literal_case(key: Column, values: dict[int, object], kind: str) -> Column:
     for k, v in values.items():
         found = F.when(key == k, F.lit(v).cast(kind)).otherwise(found)
     return found
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Python workers get a thousand rows at a time, since texts can be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringtally.llm.common import small_batches
+
 BUCKETS = 1 << 16
 MOST_LANGUAGES = 512
 SMOOTHING = 0.05
@@ -153,6 +155,7 @@ def languages(docs: DataFrame) -> DataFrame:
     are not held out. A NULL text, or one without a letter, is ``und`` with score 0, as is
     everything if nothing could be learned. A NULL id is neither held out nor learned from.
     Repeated rows are predicted alike. ``row`` is the document with all its columns."""
+    small_batches(docs.sparkSession)
     fold = in_training()
     model = fit(docs.where(fold != 0).select("lang", "text"))
     rows = docs.select("text", F.struct("*").alias("row"), F.coalesce(fold == 0, F.lit(False)).alias("held_out"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ringtally.llm import byte_bpe, kd_sharding, language_mixture, mixing, quality_rules
+from ringtally.llm import byte_bpe, kd_sharding, language_mixture, mixing, near_dedup, quality_rules
 from ringtally.llm.common import table
 
 SHARDS = 40
@@ -29,6 +29,10 @@ def op6_mixing(spark, folder):
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op7_near_dedup(spark, folder):
+    return near_dedup.groups(table(spark, folder, "documents"))
+
+
 def op8_quality_rules(spark, folder):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return quality_rules.judged(docs, labels).select(
@@ -52,6 +56,7 @@ def op10_language_mixture(spark, folder):
 QUERIES = {
     "op4_kd_sharding": op4_kd_sharding,
     "op6_mixing": op6_mixing,
+    "op7_near_dedup": op7_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language_mixture": op10_language_mixture,
