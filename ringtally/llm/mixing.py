@@ -18,6 +18,7 @@ EPOCHS = 3
 BINS = 4096  # parts of the seeded order; only one part per source is sorted
 WEIGHTS = (1, 2, 3)
 RANK_TASKS = 16
+BROADCAST_SOURCES = 50_000  # a row per source; beyond this many the join is left to Spark
 
 
 def seeded(seed: int) -> Column:
@@ -125,6 +126,8 @@ def mix(
         plans["source"].alias("of"), "source_size", "target", "whole",
         F.coalesce("edge", F.lit(BINS)).alias("edge"), F.coalesce("room", F.lit(0)).alias("room"),
     )
+    if sources.count() <= BROADCAST_SOURCES:
+        plans = F.broadcast(plans)
     planned = sized.join(plans, sized["source"].eqNullSafe(plans["of"]))
     passes = F.col("whole") * F.col("size")
     plain = planned.where("bin != edge").withColumn(
