@@ -39,3 +39,12 @@ def literal_case(key: Column, values: dict[int, object], kind: str) -> Column:
 def small_batches(spark: SparkSession) -> None:
     """Python workers get a thousand rows at a time, since texts can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """A reliable checkpoint, which keeps the order and layout of partitions. It goes to the
+    session's checkpoint folder; one is set below the scratch folder where there is none."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_path(frame.sparkSession, "checkpoints"))
+    return frame.checkpoint()

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ringtally.llm.common import staged, words
+from ringtally.llm.common import checkpointed, staged, words
 
 EPOCHS = 3
 BINS = 4096  # parts of the seeded order; only one part per source is sorted
@@ -31,10 +31,9 @@ def ranked_sources(sizes: DataFrame) -> DataFrame:
     """Adds ``rank`` from 0 in code point order, NULL last. The sources are sorted in ranges;
     each range starts after the rows of the ranges before it."""
     order = F.col("source").asc_nulls_last()
+    sorted_ranges = sizes.repartitionByRange(RANK_TASKS, order).sortWithinPartitions(order)
     ranges = (
-        sizes.repartitionByRange(RANK_TASKS, order)
-        .sortWithinPartitions(order)
-        .checkpoint()
+        checkpointed(sorted_ranges)
         .withColumn("part", F.spark_partition_id())
         .withColumn("at", F.monotonically_increasing_id() - F.shiftleft(F.col("part").cast("long"), 33))
     )

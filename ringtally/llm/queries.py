@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ringtally.llm import byte_bpe, kd_sharding, language_mixture, mixing, near_dedup, quality_rules
+from ringtally.llm import (
+    adaptive_scan,
+    byte_bpe,
+    fixity,
+    kd_sharding,
+    language_mixture,
+    mixing,
+    near_dedup,
+    quality_rules,
+    template_removal,
+    url_lists,
+)
 from ringtally.llm.common import table
 
 SHARDS = 40
@@ -17,6 +28,28 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_fixity(spark, folder):
+    """Pages as WARC records, against a copy with known faults."""
+    records = fixity.placed(fixity.warc_records(table(spark, folder, "pages")))
+    return fixity.audit(records, fixity.damaged_copy(records))
+
+
+def op2_adaptive_scan(spark, folder):
+    return adaptive_scan.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op3_url_lists(spark, folder):
+    """Pages as captures, against list histories drawn for the domains that occur."""
+    pages = table(spark, folder, "pages")
+    found = url_lists.judge(url_lists.dated_captures(pages), url_lists.sample_changes(pages))
+    return found.withColumn("fetched", F.col("fetched").cast("string"))
+
+
+def op5_template_removal(spark, folder):
+    found = template_removal.extract(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_kd_sharding(spark, folder):
     placed = kd_sharding.kd_shards(table(spark, folder, "documents"), SHARDS)
     return placed.select(
@@ -54,6 +87,10 @@ def op10_language_mixture(spark, folder):
 
 
 QUERIES = {
+    "op1_fixity": op1_fixity,
+    "op2_adaptive_scan": op2_adaptive_scan,
+    "op3_url_lists": op3_url_lists,
+    "op5_template_removal": op5_template_removal,
     "op4_kd_sharding": op4_kd_sharding,
     "op6_mixing": op6_mixing,
     "op7_near_dedup": op7_near_dedup,

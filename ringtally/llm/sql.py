@@ -39,4 +39,60 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM running
 """
 
-ORACLE = {"op6_mixing": OP6}
+OP1 = r"""
+WITH records AS (
+  SELECT coalesce(floor(page_id / 1000), -1)::BIGINT AS file, page_id,
+         (strlen('WARC/1.0' || 'WARC-Type: response' || 'WARC-Record-ID: <urn:page:'
+                 || coalesce(page_id::VARCHAR, '') || '>' || 'WARC-Target-URI: ' || coalesce(url, '')
+                 || 'Content-Length: ' || strlen(coalesce(html, ''))::VARCHAR)
+          + 16 + strlen(coalesce(html, '')))::BIGINT AS length,
+         substr(md5(page_id::VARCHAR), 1, 2) AS draw
+  FROM pages
+), placed AS (
+  SELECT *, (sum(length) OVER (PARTITION BY file ORDER BY page_id) - length)::BIGINT AS "offset" FROM records
+)
+SELECT file, "offset", page_id, length, CASE draw WHEN 'a0' THEN 'changed' ELSE 'missing' END AS damage
+FROM placed WHERE draw IN ('a0', 'b1')
+UNION ALL
+SELECT file, "offset" + 1, page_id, 1, 'extra' FROM placed WHERE draw = 'c2'
+"""
+
+OP3 = r"""
+WITH captures AS (
+  SELECT page_id, url, DATE '2024-01-01' + (page_id % 366)::INT AS fetched,
+         nullif(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host
+  FROM pages
+), hosts AS (
+  SELECT DISTINCT host, string_split(host, '.') AS labels FROM captures WHERE host IS NOT NULL
+), covers AS (
+  SELECT DISTINCT host, array_to_string(labels[i:], '.') AS entry
+  FROM (SELECT host, labels, unnest(range(1, len(labels) + 1)) AS i FROM hosts)
+), drawn AS (
+  SELECT DISTINCT entry, ('0x' || substr(md5(entry), 1, 2))::INT AS d1,
+         ('0x' || substr(md5(entry), 3, 2))::INT AS d2, ('0x' || substr(md5(entry), 5, 2))::INT AS d3
+  FROM covers
+), changes AS (
+  SELECT (['adult', 'malware', 'spam', 'allow'])[d1 % 4 + 1] AS list, entry,
+         DATE '2024-01-01' + d AS day, bool_and(active) AS active
+  FROM (SELECT *, d2 AS d, true AS active FROM drawn UNION ALL SELECT *, d2 + d3, false FROM drawn
+        UNION ALL SELECT *, d2 + 183, true FROM drawn UNION ALL SELECT *, d2 + d3 + 183, false FROM drawn)
+  GROUP BY ALL
+), states AS (
+  SELECT c.page_id, c.host, c.fetched, v.entry, s.list,
+         (SELECT arg_max(x.active, x.day) FROM changes x
+          WHERE x.entry = v.entry AND x.list = s.list AND x.day <= c.fetched) AS active
+  FROM (SELECT DISTINCT host, fetched, NULL AS page_id FROM captures) c
+  JOIN covers v ON v.host = c.host JOIN (SELECT DISTINCT list, entry FROM changes) s ON s.entry = v.entry
+), found AS (
+  SELECT host, fetched, count(*) AS n_active, array_to_string(list_sort(list(DISTINCT list)), ',') AS lists,
+         arg_max(entry, length(entry)) AS entry,
+         max(length(entry)) FILTER (list <> 'allow') AS deny, max(length(entry)) FILTER (list = 'allow') AS allow
+  FROM states WHERE active GROUP BY ALL
+)
+SELECT c.page_id, c.url, c.fetched::VARCHAR AS fetched, c.host, coalesce(f.n_active, 0) AS n_active,
+       coalesce(f.lists, '') AS lists, f.entry,
+       coalesce(f.deny IS NOT NULL AND coalesce(f.allow, 0) < f.deny, false) AS blocked
+FROM captures c LEFT JOIN found f ON f.host = c.host AND f.fetched = c.fetched
+"""
+
+ORACLE = {"op1_fixity": OP1, "op3_url_lists": OP3, "op6_mixing": OP6}
