@@ -250,6 +250,9 @@ ORACLE = {
     "conform_raw_events": f"WITH {WIRE} SELECT {EVENT_COLUMNS} FROM valid",
     "decoded_json": f"WITH {WIRE} SELECT {EVENT_COLUMNS} FROM valid",
     "keyed_json": f"WITH {USAGE} SELECT msisdn AS key, {json_text(True)} AS value FROM usage",
+    "subscriber_partitions": f"""WITH {USAGE}
+        SELECT CAST(CAST('0x' || substr(md5(msisdn), 1, 8) AS BIGINT) % 8 AS INT) AS partition,
+          count(*) AS n_events, count(DISTINCT msisdn) AS n_subscribers FROM usage GROUP BY 1""",
     "masked_users": """
         SELECT substr('7' || lpad(CAST(user_id * 7919 AS VARCHAR), 10, '0'), 1, 7) || '****' AS msisdn,
           count(*) AS n_events FROM events GROUP BY 1""",
@@ -315,8 +318,8 @@ ORACLE = {
     ),
     "anomaly_summary": report(
         f"""SELECT anomaly_type, count(*) AS anomaly_count,
-          avg(CASE severity WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END) AS avg_severity
-        FROM anomalies_found WHERE detected_at >= {NOW} - INTERVAL '24 hours' GROUP BY anomaly_type""",
+          avg(CASE CAST(event_id AS BIGINT) % 4 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END) AS avg_severity
+        FROM anomalies_found WHERE detected_at >= {NOW} - INTERVAL '30 days' GROUP BY anomaly_type""",
         ANOMALIES,
     ),
     "daily_summary_7d": report(

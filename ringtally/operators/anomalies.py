@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringtally.operators.events import event_json
+from ringtally.operators.events import MONEY, event_json
 from ringtally.operators.metrics import by_window, with_bounds
 from ringtally.schema import WATERMARK, Limits
 
@@ -36,7 +36,10 @@ def label(limits: Limits) -> tuple[Column, Column]:
     )
 
     def text(before: str, value: str, after: str) -> Column:
-        return F.concat(F.lit(before), F.col(value).cast("string"), F.lit(after))
+        shown = F.col(value).cast("string")
+        if value != "duration_seconds":  # as money, where it fits
+            shown = F.coalesce(F.col(value).try_cast(MONEY).cast("string"), shown)
+        return F.concat(F.lit(before), shown, F.lit(after))
 
     reason = (
         F.when(long_call, text("Call duration: ", "duration_seconds", " seconds"))

@@ -138,7 +138,8 @@ def rule_counts(rows: DataFrame, table: str = "raw_events") -> DataFrame:
 
 
 def drop_repeats(events: DataFrame, watermark: str = WATERMARK, spread: int = 16) -> DataFrame:
-    """Keep one row per ``event_id``, also where one id holds a large part of all rows.
+    """Keep one row per ``event_id``, also where one id holds a large part of all rows. Rows
+    without an id are no copies of each other: all stay.
 
     A batch keeps the copy with the earliest time; copies are combined before the shuffle, so
     an id moves at most once per map task.
@@ -150,7 +151,8 @@ def drop_repeats(events: DataFrame, watermark: str = WATERMARK, spread: int = 16
     the first step where no id has many copies.
     """
     if events.isStreaming:
-        marked = events.withWatermark("timestamp", watermark)
+        timed = events.withWatermark("timestamp", watermark)
+        marked = timed.filter(F.col("event_id").isNotNull())
         if spread > 1:
             # A fixed seed: a task that is run again marks its rows the same way.
             group = F.floor(F.rand(seed=17) * spread).cast("int")
@@ -159,12 +161,15 @@ def drop_repeats(events: DataFrame, watermark: str = WATERMARK, spread: int = 16
                 .dropDuplicatesWithinWatermark(["event_id", "copy_group"])
                 .drop("copy_group")
             )
-        return marked.dropDuplicatesWithinWatermark(["event_id"])
+        once = marked.dropDuplicatesWithinWatermark(["event_id"])
+        return once.unionByName(timed.filter(F.col("event_id").isNull()))
+    named = events.filter(F.col("event_id").isNotNull())
     rest = ["timestamp"] + [c for c in events.columns if c not in ("event_id", "timestamp")]
-    first = events.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("first"))
-    return first.select(
+    first = named.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("first"))
+    once = first.select(
         *[F.col("event_id") if c == "event_id" else F.col(f"first.{c}") for c in events.columns]
     )
+    return once.unionByName(events.filter(F.col("event_id").isNull()))
 
 
 def mask_subscribers(events: DataFrame) -> DataFrame:

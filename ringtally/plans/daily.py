@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 
+from ringtally.operators.events import drop_repeats
 from ringtally.operators.rollups import between_days, daily_stats, hourly_partials, hourly_stats
 from ringtally.operators.rollups import daily_stats_extended
 from ringtally.plans.quality import require_quality, require_results
@@ -26,13 +27,23 @@ def stored_tables(store: Store) -> Tables:
     )
 
 
-def run_rollups(store: Store, first: Date, last: Date | None = None, extended: bool = False) -> None:
+def run_rollups(
+    store: Store,
+    first: Date,
+    last: Date | None = None,
+    extended: bool = False,
+    remove_empty: bool = False,
+) -> None:
     """Replace the rollups of some days. The events are read once: both tables are built from
     the hourly partials, which are kept (on disk if need be) between the two writes and
     computed again from the events if an executor is lost. Counting users needs the events
-    themselves, so ``extended`` reads them a second time."""
+    themselves, so ``extended`` reads them a second time. An event delivered twice counts once.
+
+    Rollups outlive their events: a day without raw events keeps its rollup. ``remove_empty``
+    removes it where the day is not older than the oldest raw day, that is, where its events
+    were taken away and did not expire."""
     last = last or first
-    events = between_days(store.read_days("raw_events", first, last), first, last)
+    events = drop_repeats(between_days(store.read_days("raw_events", first, last), first, last))
     partials = hourly_partials(events).persist(StorageLevel.MEMORY_AND_DISK)
     # A few thousand rows a day: one file per day, many days side by side.
     tasks = min((last - first).days + 1, store.spark.sparkContext.defaultParallelism)
@@ -44,9 +55,11 @@ def run_rollups(store: Store, first: Date, last: Date | None = None, extended: b
             store.load("daily_stats_extended", rows, layout="repartition", tasks=tasks)
     finally:
         partials.unpersist()
+    present = store.days("raw_events") if remove_empty else []
+    if not present:
+        return
     # A day whose events are gone has no rows to replace its old rollup with.
-    present = set(store.days("raw_events"))
-    gone = [d for d in _days(first, last) if d not in present]
+    gone = [d for d in _days(first, last) if d > present[0] and d not in set(present)]
     for table in ("daily_stats", "hourly_stats", "daily_stats_extended"):
         store.drop_days(table, [d for d in gone if d in set(store.days(table))])
 

@@ -43,8 +43,11 @@ def verify_results(t: Tables) -> DataFrame:
 def retention_kept(t: Tables, as_of=None, keep_days: int = 14) -> DataFrame:
     """Events by day that dropping the days before ``as_of`` minus ``keep_days`` would keep."""
     start = moment(t.raw_events, as_of, f"{keep_days} days", to_day=True)
+    kept = t.raw_events.filter(F.col("timestamp") >= start)
+    if "event_date" in kept.columns:
+        kept = kept.filter(F.col("event_date") >= start.cast("date"))
     return (
-        t.raw_events.filter(F.col("timestamp") >= start)
+        kept.select("timestamp")
         .groupBy(F.to_date("timestamp").alias("event_date"))
         .agg(F.count(F.lit(1)).alias("n_events"))
     )

@@ -91,13 +91,16 @@ def region_users(t: Tables, as_of=None) -> DataFrame:
     )
 
 
-def anomaly_summary(t: Tables, as_of=None) -> DataFrame:
+def anomaly_summary(t: Tables, as_of=None, back: str = "24 hours") -> DataFrame:
     """Anomalies of the last 24 hours by type, with the mean severity (high 3, medium 2,
-    other 1)."""
+    other 1). Only the day folders of that time are read."""
     grade = F.when(F.col("severity") == "high", 3).when(F.col("severity") == "medium", 2).otherwise(1)
+    start = moment(t.raw_events, as_of, back)
+    recent = t.anomalies.filter(F.col("detected_at") >= start)
+    if "detected_date" in recent.columns:
+        recent = recent.filter(F.col("detected_date") >= start.cast("date"))
     return (
-        t.anomalies.filter(F.col("detected_at") >= moment(t.raw_events, as_of, "24 hours"))
-        .groupBy("anomaly_type")
+        recent.groupBy("anomaly_type")
         .agg(_n("anomaly_count"), F.avg(grade).alias("avg_severity"))
         .orderBy(F.desc("anomaly_count"), "anomaly_type")
     )

@@ -94,19 +94,21 @@ TABLES = {
             "event_subtype": "string",
             "count_events": "bigint",
             "total_duration_seconds": "bigint",
-            "total_data_gb": "decimal(15,4)",
-            "total_amount": "decimal(15,2)",
+            "total_data_gb": "decimal(28,4)",
+            "total_amount": "decimal(28,2)",
             "avg_duration_seconds": "decimal(10,2)",
             "avg_data_mb": "decimal(10,2)",
             "created_at": "timestamp",
         },
-        # A window is emitted once, whole, so its start is the unit of replacement.
+        # A window is emitted once, whole, so its bounds are the unit of replacement: windows
+        # of another size that start together are others.
         partitions={
             "metric_type": ("string", "metric_type"),
             "window_key": (
                 "string",
                 "CASE WHEN metric_type = 'batch_metrics' THEN 'latest'"
-                " ELSE date_format(window_start, 'yyyyMMdd-HHmmss') END",
+                " ELSE concat(date_format(window_start, 'yyyyMMdd-HHmmss'), '-',"
+                " CAST(unix_timestamp(window_end) - unix_timestamp(window_start) AS STRING)) END",
             ),
         },
     ),
@@ -148,10 +150,10 @@ TABLES = {
             "total_call_duration": "bigint",
             "avg_call_duration": "decimal(10,2)",
             "max_call_duration": "int",
-            "total_data_mb": "decimal(15,2)",
+            "total_data_mb": "decimal(28,2)",
             "avg_data_mb": "decimal(10,2)",
             "max_data_mb": "decimal(10,2)",
-            "total_revenue": "decimal(15,2)",
+            "total_revenue": "decimal(28,2)",
             "avg_transaction": "decimal(10,2)",
             "created_at": "timestamp",
         },
@@ -182,8 +184,8 @@ TABLES = {
             "total_events": "bigint",
             "total_duration": "bigint",
             "avg_duration": "decimal(10,2)",
-            "total_data_mb": "decimal(15,2)",
-            "total_amount": "decimal(15,2)",
+            "total_data_mb": "decimal(28,2)",
+            "total_amount": "decimal(28,2)",
             "created_at": "timestamp",
         },
         partitions={"date": ("date", "to_date(hour_timestamp)")},

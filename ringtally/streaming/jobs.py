@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ringtally.operators.events import decode, exact_amounts, validate, with_event_time
+from ringtally.operators.events import (
+    decode,
+    exact_amounts,
+    split_by_rules,
+    table_rules,
+    with_event_time,
+)
 from ringtally.operators.metrics import (
     conditional_metrics,
     cumulative_metrics,
@@ -15,7 +22,7 @@ from ringtally.operators.metrics import (
 from ringtally.schema import Limits
 from ringtally.session import scratch_path
 from ringtally.sources.store import Store
-from ringtally.streaming.sinks import Sink, archive_sink, table_sink
+from ringtally.streaming.sinks import SEEN_AT, Sink, archive_sink, table_sink
 
 # Time between micro-batches. Every archive batch makes files in its own folder, so a busy
 # source is better served by minutes.
@@ -67,15 +74,20 @@ def start_streams(
     metrics_every: str = METRICS_EVERY,
 ) -> list[StreamingQuery]:
     """Fan one stream of decoded events out. Each query reads the source on its own and has
-    its own checkpoint; raw events and anomalies share one. ``validated=False`` lets the
-    metrics count every row, malformed ones in a group of NULLs."""
+    its own checkpoint; raw events and anomalies share one. Metrics count what the raw table
+    takes; ``validated=False`` lets them count every row, malformed ones in a group of NULLs,
+    except amounts no table column can hold."""
+    forgiven = ("timestamp_missing",)
+    if not validated:
+        forgiven = tuple(r for r in table_rules() if not r.endswith("_out_of_range"))
     queries = []
     for name in streams:
         if name == "archive":
-            sink, frame, mode, every = archive_sink(store, limits), events, "append", archive_every
+            sink, mode, every = archive_sink(store, limits), "append", archive_every
+            frame = events.withColumn(SEEN_AT, F.current_timestamp())
         else:
             metric, mode = METRICS[name]
-            counted = exact_amounts(validate(events) if validated else events)
+            counted = exact_amounts(split_by_rules(events, forgiven)[0])
             frame, every = metric(counted), metrics_every
             sink = table_sink(store, "real_time_metrics", keyed=True)
         queries.append(start(frame, sink, name, checkpoint, mode, every if continuous else None))

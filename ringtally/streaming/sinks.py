@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ringtally.operators.anomalies import find_anomalies
 from ringtally.operators.events import event_json, exact_amounts, split_by_rules, validate
@@ -16,6 +17,9 @@ from ringtally.sources.store import Store
 
 Sink = Callable[[DataFrame, int], None]
 
+# The time of a batch's first try, taken in the streaming plan, where every try has the same.
+SEEN_AT = "seen_at"
+
 
 def load_id(batch: DataFrame, batch_id: int) -> str:
     """The same for every try of a batch; a new checkpoint has a new query id."""
@@ -27,6 +31,8 @@ def table_sink(store: Store, table: str, keyed: bool = False) -> Sink:
     """``keyed`` tables are replaced by their own key (the window); others by load."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         if keyed:
             store.load(table, batch, layout="repartition")
         else:
@@ -43,9 +49,14 @@ def archive_sink(store: Store, limits: Limits = Limits()) -> Sink:
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if kept.isEmpty():
+                return
             piece = load_id(batch, batch_id)
             good, refused = split_by_rules(kept, tolerated=("timestamp_missing",))
-            found = find_anomalies(exact_amounts(validate(kept)), limits, with_event=True)
+            seen_at = F.col(SEEN_AT) if SEEN_AT in kept.columns else None
+            # Limits are tested on the values as they came: none is too large to be reported.
+            found = find_anomalies(validate(kept), limits, seen_at, with_event=True)
+            found, _ = split_by_rules(found, table="anomalies")
             store.load("raw_events", exact_amounts(good), piece, layout=None)
             store.load(
                 "quarantined_events",

@@ -51,13 +51,36 @@ def test_rerun_replaces_only_its_day(spark, store):
     assert sizes == {10: 31, 11: 30}
 
 
-def test_rollup_of_a_day_without_events_is_removed(spark, store):
-    store.load("raw_events", frame(spark, *day_of(30), *day_of(30, 11)), "x")
-    run_rollups(store, DAY, dt.date(2024, 3, 11))
+def test_rollup_of_a_day_without_events_is_removed_when_asked(spark, store):
+    store.load("raw_events", frame(spark, *day_of(30, 9), *day_of(30), *day_of(30, 11)), "x")
+    run_rollups(store, dt.date(2024, 3, 9), dt.date(2024, 3, 11))
     store.drop_days("raw_events", [DAY])
     run_rollups(store, DAY)
-    assert {r.date.day for r in store.read("daily_stats").collect()} == {11}
-    assert [d.day for d in store.days("hourly_stats")] == [11]
+    assert [d.day for d in store.days("daily_stats")] == [9, 10, 11]
+    run_rollups(store, DAY, remove_empty=True)
+    assert {r.date.day for r in store.read("daily_stats").collect()} == {9, 11}
+    assert [d.day for d in store.days("hourly_stats")] == [9, 11]
+
+
+def test_rollups_outlive_their_events(spark, store):
+    """Days expire; rolling a wider range up again keeps the only copy that is left."""
+    store.load("raw_events", frame(spark, *day_of(30, 1), *day_of(30, 9), *day_of(100)), "x")
+    run_rollups(store, dt.date(2024, 3, 1), DAY, extended=True)
+    before = {t: contents(store, t) for t in ("daily_stats", "hourly_stats", "daily_stats_extended")}
+    run_daily(store, DAY, keep_days=5)
+    assert [d.day for d in store.days("raw_events")] == [9, 10]
+    for flag in (False, True):
+        run_rollups(store, dt.date(2024, 3, 1), DAY, extended=True, remove_empty=flag)
+        assert {t: contents(store, t) for t in before} == before
+
+
+def test_an_event_delivered_twice_counts_once(spark, store):
+    store.load("raw_events", frame(spark, *day_of(30)), "x")
+    run_rollups(store, DAY, extended=True)
+    before = {t: contents(store, t) for t in ("daily_stats", "daily_stats_extended")}
+    store.load("raw_events", frame(spark, *day_of(30)), "again")
+    run_rollups(store, DAY, extended=True)
+    assert {t: contents(store, t) for t in before} == before
 
 
 def test_daily_job(spark, store):

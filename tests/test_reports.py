@@ -121,3 +121,13 @@ def test_counts_read_no_columns(spark, folder, name):
     store.load("raw_events", frame(spark, event("a")), "x")
     text = plan(getattr(reports, name)(stored_tables(store)))
     assert text.count("ReadSchema: struct<>") >= 3
+
+
+def test_anomaly_grades(spark):
+    t = tables(spark, event("x"))
+    rows = [("a", "high"), ("a", "medium"), ("a", "low"), ("b", None)]
+    t.anomalies = spark.createDataFrame(
+        [(k, s, at(0)) for k, s in rows] + [("old", "high", at(-60 * 25))], "anomaly_type string, severity string, detected_at timestamp"
+    )
+    got = {r.anomaly_type: (r.anomaly_count, r.avg_severity) for r in reports.anomaly_summary(t, at(0)).collect()}
+    assert got == {"a": (3, 2.0), "b": (1, 1.0)}

@@ -14,7 +14,7 @@ from ringtally.sources.store import Store
 from ringtally.streaming.jobs import await_all, decoded_events, drain, start, start_streams
 from ringtally.streaming.runlog import log_stream
 from ringtally.streaming.sinks import jdbc_sink
-from tests.rows import at
+from tests.rows import at, event, frame
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -234,3 +234,32 @@ def test_processing_time_is_used_for_unreadable_times(spark, inbox):
     lenient = decoded_events(text_messages(spark, str(inbox.path)), unreadable_time="now")
     row = drain(spark, lenient).first()
     assert abs(row.timestamp - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) < dt.timedelta(hours=24)
+
+
+def test_one_huge_event_does_not_stop_the_metrics(spark, store, inbox, folder):
+    """It is refused by the table and reported; the others of its batch are counted."""
+    names = ("archive", "metrics_5min")
+    inbox.put(wire("a", at(0)), wire("huge", at(1), kind="data_session", data_mb=2e17))
+    inbox.put(wire("end", at(30)))
+    for _ in range(2):
+        await_all(start_streams(inbox.stream(spark), store, folder + "/cp", names, continuous=False))
+    assert ids(store.read("raw_events")) == ["a", "end"]
+    assert ids(store.read("quarantined_events")) == ["huge"] == ids(store.read("anomalies"))
+    assert [r.count_events for r in store.read("real_time_metrics").collect()] == [1]
+
+
+def test_windows_of_two_sizes_share_a_table(spark, store):
+    rows = [event("a", time=at(0)), event("b", time=at(20))]
+    for size in ("5 minutes", "1 hour"):
+        store.load("real_time_metrics", event_type_metrics(frame(spark, *rows), size), layout="repartition")
+    assert sorted(r.count_events for r in store.read("real_time_metrics").collect()) == [1, 1, 2]
+
+
+def test_a_batch_tried_after_midnight_keeps_its_detection_time(spark, store):
+    from ringtally.streaming.sinks import SEEN_AT, archive_sink
+
+    seen = F.lit("2024-03-10 23:59:59").cast("timestamp").alias(SEEN_AT)
+    batch = frame(spark, event("a", duration_seconds=20000)).select("*", seen)
+    for _ in range(2):
+        archive_sink(store)(batch, 7)
+    assert [str(r.detected_date) for r in store.read("anomalies").collect()] == ["2024-03-10"]
