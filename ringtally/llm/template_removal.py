@@ -3,7 +3,7 @@
 Every element subtree of a page is hashed; Spark counts, per host, the pages each hash occurs
 on. A subtree that occurs on at least LEAST_PAGES pages and LEAST_SHARE of its host's pages is
 a template and is deleted, except where it holds half of a page's text or more, or is a
-paragraph, heading or the like inside an article, which stay however often the article was
+paragraph, heading, list or table inside an article, which stay however often the article was
 copied. Menus, headers, footers, sidebars, notices, adverts, forms and comments are also known
 by tag, role or class, since small hosts repeat too little to show them.
 
@@ -40,7 +40,10 @@ CHROME_WORDS = frozenset(
     " pagination pager toolbar widget widgets".split()
 )
 MAIN_TAGS = frozenset(("article", "main"))
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr figcaption article main body html #page".split())
+PROSE = frozenset(
+    "p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tfoot tr td th figure figcaption"
+    " article main body html #page".split()
+)
 WORD = re.compile(r"[A-Za-z]+")
 
 
