@@ -141,14 +141,9 @@ def labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """Every document with ``n_shingles``, ``component_id`` and ``kept``.
-
-    ``component_id`` is the smallest document id reachable over links. Texts that are NULL,
-    empty or without words have no shingles: they are linked with nothing and kept. Documents
-    with equal sets are linked, however many; rows that repeat an id are judged alike. A NULL
-    id never names a group unless the group has no other; such rows are kept only then.
-    """
+def judged(docs: DataFrame) -> DataFrame:
+    """What ``groups`` returns, with ``text_key`` (a digest of the text) and ``part`` (a number
+    of the group; NULL without shingles)."""
     spark = docs.sparkSession
     small_batches(spark)
     key = F.md5(F.col("text").cast("binary"))
@@ -205,25 +200,54 @@ def groups(docs: DataFrame) -> DataFrame:
     # Components by their smallest document id.
     placed = staged(labelled(nodes.select("node", "print", "lowest"), links), "dedup-placed")
     ids = placed.groupBy("component").agg(F.min("lowest").alias("component_id"))
-    placed = placed.join(ids, "component").select("print", "component_id")
-    rows = described_rows.select("doc_id", "n", "print").join(placed, "print", "left")
+    placed = placed.join(ids, "component").select("print", "component", "component_id")
+    rows = described_rows.select("doc_id", "text_key", "n", "print").join(placed, "print", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.select(
         "doc_id",
+        "text_key",
+        F.col("component").alias("part"),
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )
 
 
+def groups(docs: DataFrame) -> DataFrame:
+    """Every document with ``n_shingles``, ``component_id`` and ``kept``.
+
+    ``component_id`` is the smallest document id reachable over links. Texts that are NULL,
+    empty or without words have no shingles: they are linked with nothing and kept. Documents
+    with equal sets are linked, however many; rows that repeat an id are judged alike. A NULL
+    id never names a group unless the group has no other; such rows are kept only then.
+    """
+    return judged(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """One document of each group, in the columns of ``docs``: that with the group's id. Where
-    rows repeat that id, one of them."""
-    found = staged(groups(docs), "dedup-groups")
-    left = docs.join(found.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti")
-    repeated = found.where("kept AND n_shingles > 0").groupBy("doc_id").count().where("count > 1")
-    if repeated.isEmpty():
-        return left.select(docs.columns)
-    again = left.join(repeated.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    once = left.join(repeated.select("doc_id"), "doc_id", "left_anti")
-    return once.select(docs.columns).union(again.select(docs.columns))
+    """One row of each group, in the columns of ``docs``: that with the group's id. Where
+    several rows have that id (or where all ids are NULL), the one with the lowest digest of its
+    text, and one of those that repeat it. Rows without shingles all stay.
+
+    Documents meet the decisions by id and digest. They are shuffled once for that, whatever
+    the size of either side, so that the cost of the stage grows with its input.
+    """
+    found = staged(judged(docs), "dedup-judged")
+    named = found.where("kept AND part IS NOT NULL")
+    best = named.groupBy("part").agg(F.min("text_key").alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = staged(named.join(best, "part").select("doc_id", "text_key", "best").distinct(), "dedup-repeated")
+    gone = found.where("NOT kept").select("doc_id", "text_key").union(
+        repeated.where("text_key != best").select("doc_id", "text_key")
+    )
+    rows = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_key"), F.struct("*").alias("row"))
+
+    def same(other):
+        return rows["doc_id"].eqNullSafe(other["doc_id"]) & rows["text_key"].eqNullSafe(other["text_key"])
+
+    rows = rows.join(gone.hint("merge"), same(gone), "left_anti")
+    again = repeated.where("text_key = best").select("doc_id", "text_key")
+    if again.isEmpty():
+        return rows.select("row.*")
+    once = rows.join(again, same(again), "left_anti")
+    twice = rows.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "text_key"])
+    return once.union(twice).select("row.*")

@@ -175,6 +175,16 @@ def test_one_document_of_a_group_stays(documents):
     assert sorted(r.doc_id for r in left.collect()) == [1, 3, 4]
 
 
+def test_ids_that_repeat_or_lack_cost_no_group(documents):
+    one, two, three = prose(1, 30), prose(2, 30), prose(3, 30)
+    docs = documents(
+        (5, one), (9, one), (3, two), (5, two + " x"), (None, one), (None, three), (None, three), (None, None), (None, None)
+    )
+    left = [(r.doc_id, r.text) for r in near_dedup.distinct_documents(docs).collect()]
+    key = lambda x: (x[0] or 0, x[1] or "")
+    assert sorted(left, key=key) == sorted([(5, one), (3, two), (None, three), (None, None), (None, None)], key=key)
+
+
 TEXTS = [
     None, "", " ", "Hello world", "don't  stop\n\n ok", "äöü ß 漢字 🙂🙂 é", "aaaa" * 50, "1234567 89 ###!!",
     prose(4, 3000), "x" * 3000, "ab" * 900 + "\t\n  \r\n end ", "<|endoftext|>", "   wide",
