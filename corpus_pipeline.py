@@ -55,8 +55,8 @@ STAGES = [
     ("byte_bpe", tokens),
 ]
 
-# Language inference, signatures and merges are beyond SQL. The stages' operators are tested one
-# by one in tests/llm; a direct computation of the whole pipeline is still to be written.
+# Language inference, signatures and merges are beyond SQL; tests/llm/test_pipeline.py computes
+# all five stages directly.
 ORACLE_SQL = None
 
 
