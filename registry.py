@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ringtally.functions.columns import mask_msisdn
+from ringtally.functions.columns import WIRE_TIME_FORMAT, mask_msisdn, wire_time
 from ringtally.operators import anomalies as an
 from ringtally.operators import events as ev
 from ringtally.operators import metrics as mt
@@ -23,7 +23,7 @@ from ringtally.plans import quality, reports
 from ringtally.schema import Limits
 from ringtally.session import prepare
 from ringtally.sources.sample import usage_events, usage_stream, wire_events, with_faults
-from ringtally.streaming.jobs import drain
+from ringtally.streaming.jobs import decoded_events, drain
 
 
 NULLABLE_NUMBERS = (
@@ -125,6 +125,41 @@ def quarantine_counts(spark, folder):
     return ev.rule_counts(wire_events(spark, folder))
 
 
+def quarantine_payload(spark, folder):
+    """Messages cut off, with a field of the wrong type or with an unreadable time: refused
+    with the text that came."""
+    k, text = F.col("event_id").cast("long"), ev.event_json()
+    value = (
+        F.when(k % 71 == 0, F.substring(text, 1, 40))
+        .when(k % 67 == 0, F.regexp_replace(text, '"cell_tower_id":[0-9]+', '"cell_tower_id":"north"'))
+        .when(k % 61 == 0, F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"soon"'))
+        .otherwise(text)
+    )
+    events = decoded_events(wire_events(spark, folder).select(value.alias("value")))
+    _, refused = ev.split_by_rules(events)
+    return refused.select("event_id", "broken_rules", ev.original_text(refused).alias("event_data"))
+
+
+def _time_texts(spark, folder):
+    """Events with their time as text: some without fraction, some unreadable."""
+    k, time = F.col("event_id").cast("long"), F.col("timestamp")
+    text = (
+        F.when(k % 11 == 0, F.lit("soon"))
+        .when(k % 7 == 0, F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .otherwise(wire_time(time))
+    )
+    return usage_events(spark, folder).select("event_id", text.alias("timestamp"))
+
+
+def strict_times(spark, folder):
+    return plain(ev.with_event_time(_time_texts(spark, folder), pattern=WIRE_TIME_FORMAT))
+
+
+def fallback_times(spark, folder):
+    moment = F.lit("2030-01-01 00:00:00").cast("timestamp")
+    return plain(ev.with_event_time(_time_texts(spark, folder), "now", fallback=moment))
+
+
 def dedup_events(spark, folder):
     return plain(ev.drop_repeats(ev.validate(wire_events(spark, folder))))
 
@@ -143,6 +178,13 @@ def high_frequency(spark, folder):
     return plain(an.frequent_subscribers(usage_events(spark, folder), Limits(events_per_window=1)))
 
 
+def high_frequency_sliding(spark, folder):
+    """Windows of 5 minutes sliding by one, as rows of the anomalies table."""
+    limits = Limits(events_per_window=1)
+    busy = an.frequent_subscribers(usage_events(spark, folder), limits, slide="1 minute")
+    return plain(an.frequency_anomalies(busy, limits, F.col("window_end")))
+
+
 def anomaly_rate(spark, folder):
     tables = Derived(spark, folder)
     rate = an.anomaly_rate(tables.raw_events, tables.anomalies)
@@ -236,6 +278,9 @@ REGISTERED = {
     "validate": validate,
     "quarantine": quarantine,
     "quarantine_counts": quarantine_counts,
+    "quarantine_payload": quarantine_payload,
+    "strict_times": strict_times,
+    "fallback_times": fallback_times,
     "dedup_events": dedup_events,
     "conform_raw_events": conform_raw_events,
     "keyed_json": keyed_json,
@@ -246,6 +291,7 @@ REGISTERED = {
     "anomalies": anomalies,
     "event_copy_json": event_copy_json,
     "anomaly_high_frequency": high_frequency,
+    "anomaly_high_frequency_sliding": high_frequency_sliding,
     "anomaly_rate": anomaly_rate,
     # rollups
     "daily_stats": daily_stats,

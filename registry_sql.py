@@ -228,6 +228,14 @@ def json_text(nulls: bool) -> str:
     return "'{' || concat_ws(',', " + ", ".join(fields) + ") || '}'"
 
 
+NO_JSON = "event_id_missing,msisdn_missing,event_type_unknown,timestamp_missing,field_unreadable"
+
+TIME_TEXTS = f"""WITH {USAGE},
+texts AS (
+  SELECT event_id, CASE WHEN CAST(event_id AS BIGINT) % 11 = 0 THEN 'soon'
+      WHEN CAST(event_id AS BIGINT) % 7 = 0 THEN strftime(event_time, '%Y-%m-%dT%H:%M:%SZ')
+      ELSE strftime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') END AS text FROM usage)"""
+
 ORACLE = {
     "metrics_5min": window_metrics(5, "event_type_5min", TYPE_KEYS, AVERAGES),
     "metrics_10min_region": window_metrics(10, "regional_10min", REGION_KEYS, NO_AVERAGES),
@@ -246,6 +254,29 @@ ORACLE = {
         f"SELECT '{name}' AS rule, count(*) AS n_rows FROM wire WHERE {condition}"
         for name, condition in RULES.items()
     ),
+    "quarantine_payload": f"""WITH {WIRE},
+sent AS (
+  SELECT *, CAST(event_id AS BIGINT) AS k, {json_text(True)} AS text FROM wire),
+arrived AS (
+  SELECT * REPLACE (CASE WHEN k % 71 <> 0 AND k % 67 <> 0 AND k % 61 = 0 THEN NULL
+      ELSE event_time END AS event_time),
+    CASE WHEN k % 71 = 0 THEN substr(text, 1, 40)
+      WHEN k % 67 = 0
+        THEN replace(text, '"cell_tower_id":' || cell_tower_id, '"cell_tower_id":"north"')
+      WHEN k % 61 = 0 THEN split_part(text, '"timestamp":', 1) || '"timestamp":"soon"}}'
+      ELSE text END AS event_data,
+    k % 71 = 0 OR k % 67 = 0 OR k % 61 = 0 AS misread
+  FROM sent)
+SELECT CASE WHEN k % 71 <> 0 THEN event_id END AS event_id, event_data,
+  CASE WHEN k % 71 = 0 THEN '{NO_JSON}'
+    ELSE concat_ws(',', nullif({BROKEN}, ''), CASE WHEN misread THEN 'field_unreadable' END)
+    END AS broken_rules
+FROM arrived WHERE misread OR {BROKEN} <> ''""",
+    "strict_times": f"""{TIME_TEXTS}
+SELECT event_id, try_strptime(text, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp FROM texts""",
+    "fallback_times": f"""{TIME_TEXTS}
+SELECT event_id, coalesce(try_strptime(text, '%Y-%m-%dT%H:%M:%S.%fZ'),
+  try_strptime(text, '%Y-%m-%dT%H:%M:%SZ'), TIMESTAMP '2030-01-01') AS timestamp FROM texts""",
     "dedup_events": f"WITH {WIRE} SELECT DISTINCT {EVENT_COLUMNS} FROM valid",
     "conform_raw_events": f"WITH {WIRE} SELECT {EVENT_COLUMNS} FROM valid",
     "decoded_json": f"WITH {WIRE} SELECT {EVENT_COLUMNS} FROM valid",
@@ -268,6 +299,14 @@ ORACLE = {
                 count(*) AS count_events FROM usage GROUP BY ALL)
         WHERE count_events > 1"""
     ),
+    "anomaly_high_frequency_sliding": f"""WITH {USAGE},
+shifted AS (
+  SELECT msisdn, date_trunc('minute', event_time) - shift * INTERVAL '1 minute' AS start
+  FROM (SELECT *, unnest(range(5)) AS shift FROM usage)),
+busy AS (SELECT msisdn, start, count(*) AS n FROM shifted GROUP BY ALL HAVING count(*) > 1)
+SELECT msisdn || '@' || strftime(start, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_id, msisdn,
+  'high_frequency' AS anomaly_type, n || ' events in 5 minutes' AS anomaly_reason,
+  'high' AS severity, start + INTERVAL '5 minutes' AS detected_at FROM busy""",
     "anomaly_rate": report(
         """SELECT round(count(*) * CAST(100 AS DOUBLE) / (SELECT count(*) FROM usage), 6)
           AS anomaly_rate_percent FROM anomalies_found""",

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringtally.operators.events import MONEY, event_json
-from ringtally.operators.metrics import by_window, with_bounds
+from ringtally.functions.columns import wire_time
+from ringtally.operators.metrics import by_window, in_panes, with_bounds
 from ringtally.schema import WATERMARK, Limits
 
 ANOMALY_COLUMNS = ("event_id", "msisdn", "anomaly_type", "anomaly_reason", "severity", "detected_at")
@@ -78,21 +79,47 @@ def find_anomalies(
 
 
 def frequent_subscribers(
-    events: DataFrame, limits: Limits = Limits(), watermark: str = WATERMARK
+    events: DataFrame,
+    limits: Limits = Limits(),
+    watermark: str = WATERMARK,
+    slide: str | None = None,
 ) -> DataFrame:
     """Subscribers with more than the allowed number of events in a window. Counts are
-    combined before the shuffle, so a very busy subscriber is one row per map task."""
+    combined before the shuffle, so a very busy subscriber is one row per map task.
+
+    ``slide`` finds bursts over the border of two windows, once for each window they fill. A
+    batch counts panes of one slide first and copies only those.
+    """
+    size, n = limits.rate_window, F.count(F.lit(1)).alias("count_events")
     if events.isStreaming:
         events = events.withWatermark("timestamp", watermark)
-    counts = by_window(events, limits.rate_window, ["msisdn"]).agg(
-        F.count(F.lit(1)).alias("count_events")
-    )
+    if in_panes(events, size, slide):
+        events = by_window(events, slide, ["msisdn"]).agg(n)
+        events = events.withColumnRenamed("window_start", "timestamp")
+        n = F.sum("count_events").alias("count_events")
+    counts = by_window(events, size, ["msisdn"], slide).agg(n)
     frequent = counts.filter(F.col("count_events") > limits.events_per_window)
     return with_bounds(frequent, limits.rate_window).select(
         "window_start", "window_end", "msisdn", "count_events"
     )
 
 
+def frequency_anomalies(
+    frequent: DataFrame, limits: Limits = Limits(), detected_at: Column | None = None
+) -> DataFrame:
+    """Frequent subscribers in the layout of ``anomalies``. No single event is meant, so the
+    subscriber and the start of the window stand for the event's id."""
+    reason = F.concat(F.col("count_events").cast("string"), F.lit(f" events in {limits.rate_window}"))
+    return frequent.filter(F.col("msisdn").isNotNull()).select(
+        F.concat_ws("@", "msisdn", wire_time(F.col("window_start"))).alias("event_id"),
+        "msisdn",
+        F.lit("high_frequency").alias("anomaly_type"),
+        reason.alias("anomaly_reason"),
+        F.lit("high").alias("severity"),
+        (F.current_timestamp() if detected_at is None else detected_at).alias("detected_at"),
+    )
+
+
 def anomaly_rate(raw_events: DataFrame, anomalies: DataFrame) -> DataFrame:
     """Anomalies in percent of raw events; NULL when there are none."""
     n_events = raw_events.agg(F.count(F.lit(1))).scalar()

@@ -27,37 +27,55 @@ from ringtally.schema import (
 
 MONEY = "decimal(18,2)"
 
+# Columns of decoded messages: the text as it came, and whether a part of it could not be read.
+MESSAGE, MISREAD = "message", "misread"
 
-def decode(messages: DataFrame) -> DataFrame:
+
+def decode(messages: DataFrame, keep_text: bool = False) -> DataFrame:
     """Parse the JSON ``value`` column. Malformed text gives a row of NULLs. The broker's own
-    ``timestamp`` column, where there is one, is kept as ``kafka_timestamp``.
+    ``timestamp`` column, where there is one, is kept as ``kafka_timestamp``. ``keep_text``
+    adds the ``message`` as it came, and ``misread``: TRUE where the text is no JSON or a field
+    has another type than expected (it reads as NULL). The parser itself reports both.
 
     The fields come out of a generator, not out of a struct column: the optimizer moves later
     filters below a projection and would parse the text again for every field they test.
     """
+    fields, text = dict(WIRE_EVENT), F.col("value").cast("string")
+    if keep_text:
+        fields[MISREAD] = "string"
     body = F.from_json(
-        F.col("value").cast("string"), ", ".join(f"`{n}` {t}" for n, t in WIRE_EVENT.items())
-    )
-    broker_time = [c for c in ("timestamp",) if c in messages.columns]
-    return messages.select(
-        F.inline(F.array(body)), *[F.col(c).alias("kafka_timestamp") for c in broker_time]
+        text,
+        ", ".join(f"`{n}` {t}" for n, t in fields.items()),
+        {"columnNameOfCorruptRecord": MISREAD} if keep_text else {},
     )
+    kept = [F.col(c).alias("kafka_timestamp") for c in ("timestamp",) if c in messages.columns]
+    if not keep_text:
+        return messages.select(F.inline(F.array(body)), *kept)
+    events = messages.select(F.inline(F.array(body)), *kept, text.alias(MESSAGE))
+    return events.withColumn(MISREAD, F.col(MISREAD).isNotNull())
 
 
 def with_event_time(
-    events: DataFrame, unreadable: str = "keep", pattern: str | None = None
+    events: DataFrame,
+    unreadable: str = "keep",
+    pattern: str | None = None,
+    fallback: Column | None = None,
 ) -> DataFrame:
     """Turn the text ``timestamp`` into a timestamp.
 
     ``unreadable``: ``keep`` leaves NULL (windows skip such rows), ``now`` puts the
-    processing time, ``drop`` removes the row.
+    processing time (or ``fallback``), ``drop`` removes the row. Text that stays unread counts
+    as ``misread``.
     """
     time = parse_time(F.col("timestamp"), pattern)
     if unreadable == "now":
-        time = F.coalesce(time, F.current_timestamp())
+        time = F.coalesce(time, F.current_timestamp() if fallback is None else fallback)
     elif unreadable not in ("keep", "drop"):
         raise ValueError(f"unreadable must be keep, now or drop, not {unreadable!r}")
-    timed = events.withColumn("timestamp", time)
+    columns = {"timestamp": time}
+    if MISREAD in events.columns:
+        columns[MISREAD] = F.col(MISREAD) | (F.col("timestamp").isNotNull() & time.isNull())
+    timed = events.withColumns(columns)
     return timed.filter(F.col("timestamp").isNotNull()) if unreadable == "drop" else timed
 
 
@@ -115,9 +133,25 @@ def table_rules(table: str = "raw_events") -> dict[str, Column]:
     return {name: F.coalesce(broken, F.lit(False)) for name, broken in rules.items()}
 
 
-def broken_rules(table: str = "raw_events") -> Column:
+def broken_rules(rules: dict[str, Column]) -> Column:
     """Names of the rules a row breaks, joined by commas; empty for a good row."""
-    return F.concat_ws(",", *[F.when(broken, name) for name, broken in table_rules(table).items()])
+    return F.concat_ws(",", *[F.when(broken, name) for name, broken in rules.items()])
+
+
+def _rules_for(rows: DataFrame, table: str) -> dict[str, Column]:
+    """The table's rules, and for decoded messages that every field was read."""
+    rules = table_rules(table)
+    if table == "raw_events" and MISREAD in rows.columns:
+        rules["field_unreadable"] = F.coalesce(F.col(MISREAD), F.lit(False))
+    return rules
+
+
+def is_refused(
+    rows: DataFrame, tolerated: tuple[str, ...] = (), table: str = "raw_events"
+) -> Column:
+    """Whether a row breaks a rule that is not tolerated."""
+    rules = _rules_for(rows, table)
+    return reduce(or_, [broken for name, broken in rules.items() if name not in tolerated])
 
 
 def split_by_rules(
@@ -125,14 +159,13 @@ def split_by_rules(
 ) -> tuple[DataFrame, DataFrame]:
     """Good rows, and refused rows with their ``broken_rules``. A row that breaks only
     tolerated rules is good."""
-    rules = table_rules(table)
-    refuse = reduce(or_, [broken for name, broken in rules.items() if name not in tolerated])
-    return rows.filter(~refuse), rows.filter(refuse).withColumn("broken_rules", broken_rules(table))
+    refuse, reasons = is_refused(rows, tolerated, table), broken_rules(_rules_for(rows, table))
+    return rows.filter(~refuse), rows.filter(refuse).withColumn("broken_rules", reasons)
 
 
 def rule_counts(rows: DataFrame, table: str = "raw_events") -> DataFrame:
     """Rows breaking each rule, zeros included: one pass, one row, then turned on its side."""
-    rules = table_rules(table)
+    rules = _rules_for(rows, table)
     totals = rows.agg(*[F.count_if(broken).alias(name) for name, broken in rules.items()])
     return totals.unpivot([], list(rules), "rule", "n_rows")
 
@@ -185,6 +218,11 @@ def event_json(*, nulls: bool = True) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": str(not nulls).lower()})
 
 
+def original_text(rows: DataFrame) -> Column:
+    """The message as it came; for events that were no messages, their JSON."""
+    return F.coalesce(F.col(MESSAGE), event_json()) if MESSAGE in rows.columns else event_json()
+
+
 def encode(events: DataFrame) -> DataFrame:
     """Messages to publish: subscriber as key, JSON as value. The broker's client places a
     message by its key, which keeps a subscriber's events in order; no shuffle is needed."""

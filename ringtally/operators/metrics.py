@@ -16,9 +16,20 @@ from ringtally.schema import WATERMARK
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 
-def _seconds(interval: str) -> int:
-    amount, unit = interval.split()
-    return int(amount) * UNIT_SECONDS[unit.rstrip("s")]
+def _seconds(interval: str) -> int | None:
+    """None for what is not one whole number of a unit of fixed length."""
+    amount, _, unit = interval.strip().partition(" ")
+    unit = UNIT_SECONDS.get(unit.strip().rstrip("s"))
+    return int(amount) * unit if amount.isdigit() and unit else None
+
+
+def in_panes(events: DataFrame, size: str, slide: str | None) -> bool:
+    """Whether sliding windows can be added up from panes of one slide: in a batch, where
+    windows hold a whole number of panes."""
+    if slide is None or events.isStreaming:
+        return False
+    whole, pane = _seconds(size), _seconds(slide)
+    return bool(whole and pane) and whole % pane == 0
 
 
 def _watermarked(events: DataFrame, watermark: str | None) -> DataFrame:
@@ -60,7 +71,7 @@ def window_partials(
     into panes of one slide, and only the panes are copied into the windows they belong to.
     """
     events = _watermarked(events, watermark)
-    if slide is None or events.isStreaming or _seconds(size) % _seconds(slide):
+    if not in_panes(events, size, slide):
         return with_bounds(by_window(events, size, keys, slide).agg(*usage_partials()), size)
     panes = by_window(events, slide, keys).agg(*usage_partials())
     panes = panes.withColumnRenamed("window_start", "timestamp")

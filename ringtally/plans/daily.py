@@ -68,20 +68,33 @@ def run_daily(
     store: Store,
     day: Date,
     as_of=None,
-    keep_days: int | None = None,
+    keep_days: int | dict[str, int] | None = None,
     least_events: int = 100,
     extended: bool = False,
+    compact: bool = False,
 ) -> dict:
-    """One day from gate to clean-up; the first failure is logged and raised."""
+    """One day from gate to clean-up; the first failure is logged and raised.
+
+    ``keep_days`` is for raw events, or a number for each table that expires. ``compact``
+    rewrites the day's many small loads: only for days that no stream writes to any more."""
     started, clock = datetime.now(timezone.utc), time.monotonic()
     status, error, checked = "completed", None, {}
     try:
-        checked = require_quality(stored_tables(store), as_of or day, least_events)
+        tables = Tables(raw_events=store.read("raw_events"))
+        checked = require_quality(tables, as_of or day, least_events)
         run_rollups(store, day, extended=extended)
-        require_results(stored_tables(store))
-        summary = batch_summary(stored_tables(store)).first().asDict()
+        tables.daily_stats = store.read("daily_stats")
+        tables.hourly_stats = store.read("hourly_stats")
+        require_results(tables)
+        summary = batch_summary(tables).first().asDict()
+        if compact:
+            loaded = ("raw_events", "anomalies", "quarantined_events")
+            summary["compacted"] = [t for t in loaded if store.compact(t, day)]
         if keep_days is not None:
-            summary["expired_days"] = store.expire("raw_events", day, keep_days)
+            limits = keep_days if isinstance(keep_days, dict) else {"raw_events": keep_days}
+            expired = {t: store.expire(t, day, n) for t, n in limits.items()}
+            summary["expired"] = expired
+            summary["expired_days"] = expired.get("raw_events", [])
         return summary
     except Exception as failure:
         status, error = "failed", str(failure)

@@ -101,8 +101,12 @@ TABLES = {
             "created_at": "timestamp",
         },
         # A window is emitted once, whole, so its bounds are the unit of replacement: windows
-        # of another size that start together are others.
+        # of another size that start together are others. Totals so far belong to no day.
         partitions={
+            "window_date": (
+                "date",
+                "CASE WHEN metric_type <> 'batch_metrics' THEN to_date(window_start) END",
+            ),
             "metric_type": ("string", "metric_type"),
             "window_key": (
                 "string",
@@ -136,7 +140,10 @@ TABLES = {
             "event_data": "string",
             "created_at": "timestamp",
         },
-        partitions={"load_id": ("string", "load_id")},
+        partitions={
+            "created_date": ("date", "to_date(created_at)"),
+            "load_id": ("string", "load_id"),
+        },
     ),
     "daily_stats": Table(
         columns={
@@ -203,6 +210,9 @@ TABLES = {
             "completed_at": "timestamp",
             "created_at": "timestamp",
         },
-        partitions={},
+        partitions={
+            "started_date": ("date", "to_date(started_at)"),
+            "load_id": ("string", "load_id"),
+        },
     ),
 }

@@ -91,20 +91,11 @@ class Store:
         if load_id is not None:
             rows = rows.withColumn("load_id", F.lit(load_id))
         rows = rows.withColumns({n: F.expr(sql).cast(t) for n, (t, sql) in spec.partitions.items()})
-        if layout == "rebalance" and spec.partitions:
+        if layout == "rebalance":
             rows = rows.hint("rebalance", *spec.partitions)
-        elif layout == "repartition" and spec.partitions:
+        elif layout == "repartition":
             rows = rows.repartition(*[n for n in [tasks] if n], *spec.partitions)
-        writer = rows.write.format("parquet")
-        if spec.partitions:
-            writer = (
-                writer.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*spec.partitions)
-            )
-        else:
-            writer = writer.mode("append")
-        writer.save(self.path(table))
+        _replace_partitions(rows, list(spec.partitions), self.path(table))
 
     def days(self, table: str) -> list[Date]:
         """Days that have a folder: one name per day, no data is read."""
@@ -124,11 +115,49 @@ class Store:
             fs.delete(where, True)
         return days
 
+    def compact(self, table: str, day: Date) -> bool:
+        """Rewrite a closed day of many loads as one load of evenly sized files; returns whether
+        there was something to do. The new files are complete before two renames swap the
+        folders, and a swap that was cut off is finished by the next call. Between the renames
+        the day is absent, so run it where no report reads the day. A load that is tried again
+        afterwards is added anew: compact a day only when its streams are past it."""
+        column = self._day_column(table)
+        if "load_id" not in TABLES[table].partitions:
+            raise ValueError(f"{table} is not stored by load")
+        fs, folder = self._files(f"{self.path(table)}/{column}={day}")
+        _, old = self._files(f"{self.path(table)}/_replaced/{column}={day}")
+        _, fresh = self._files(f"{self.path(table)}/_fresh/{column}={day}")
+        if not fs.exists(folder) and fs.exists(old):
+            fs.rename(old, folder)
+        if not fs.exists(folder):
+            return False
+        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        if sum(name.startswith("load_id=") for name in names) < 2:
+            return False
+        rows = self.read_days(table, day, day).drop(column).withColumn("load_id", F.lit("compacted"))
+        rows.hint("rebalance").write.mode("overwrite").partitionBy("load_id").parquet(fresh.toString())
+        fs.delete(old, True)
+        fs.mkdirs(old.getParent())
+        for source, target in ((folder, old), (fresh, folder)):
+            if not fs.rename(source, target):
+                raise OSError(f"cannot rename {source} to {target}")
+        fs.delete(old, True)
+        return True
+
     def expire(self, table: str, as_of: Date, keep_days: int) -> list[Date]:
         """Drop the days before ``as_of`` minus ``keep_days``; returns them."""
         limit = as_of - timedelta(days=keep_days)
         return self.drop_days(table, [d for d in self.days(table) if d < limit])
 
 
+def _replace_partitions(rows: DataFrame, columns: list[str], path: str) -> None:
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*columns)
+        .parquet(path)
+    )
+
+
 def _days(first: Date, last: Date) -> list[Date]:
     return [first + timedelta(days=n) for n in range((last - first).days + 1)]

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ringtally.operators.anomalies import frequency_anomalies, frequent_subscribers
 from ringtally.operators.events import (
     decode,
     exact_amounts,
+    is_refused,
     split_by_rules,
     table_rules,
     with_event_time,
@@ -22,7 +24,8 @@ from ringtally.operators.metrics import (
 from ringtally.schema import Limits
 from ringtally.session import scratch_path
 from ringtally.sources.store import Store
-from ringtally.streaming.sinks import SEEN_AT, Sink, archive_sink, table_sink
+from ringtally.streaming.runlog import REFUSED
+from ringtally.streaming.sinks import FORGIVEN, SEEN_AT, Sink, archive_sink, table_sink
 
 # Time between micro-batches. Every archive batch makes files in its own folder, so a busy
 # source is better served by minutes.
@@ -40,7 +43,7 @@ DEFAULT_STREAMS = ("archive", "metrics_5min", "metrics_10min")
 
 def decoded_events(messages: DataFrame, unreadable_time: str = "keep") -> DataFrame:
     """Messages to events, not yet validated. A stream and a batch give the same rows."""
-    return with_event_time(decode(messages), unreadable_time)
+    return with_event_time(decode(messages, keep_text=True), unreadable_time)
 
 
 def start(
@@ -72,24 +75,35 @@ def start_streams(
     validated: bool = True,
     archive_every: str = ARCHIVE_EVERY,
     metrics_every: str = METRICS_EVERY,
+    metrics_sink: Sink | None = None,
+    burst_slide: str | None = "1 minute",
 ) -> list[StreamingQuery]:
     """Fan one stream of decoded events out. Each query reads the source on its own and has
     its own checkpoint; raw events and anomalies share one. Metrics count what the raw table
     takes; ``validated=False`` lets them count every row, malformed ones in a group of NULLs,
-    except amounts no table column can hold."""
-    forgiven = ("timestamp_missing",)
+    except amounts no table column can hold. ``metrics_sink`` sends windows elsewhere than to
+    the store, for instance to a database. ``high_frequency`` reports busy subscribers as
+    anomalies, in windows that slide by ``burst_slide``."""
+    forgiven = FORGIVEN
     if not validated:
         forgiven = tuple(r for r in table_rules() if not r.endswith("_out_of_range"))
+        forgiven += ("field_unreadable",)
     queries = []
     for name in streams:
         if name == "archive":
             sink, mode, every = archive_sink(store, limits), "append", archive_every
-            frame = events.withColumn(SEEN_AT, F.current_timestamp())
+            failed = F.count(F.when(is_refused(events, FORGIVEN), 1)).alias("failed")
+            frame = events.withColumn(SEEN_AT, F.current_timestamp()).observe(REFUSED, failed)
+        elif name == "high_frequency":
+            counted = split_by_rules(events, FORGIVEN)[0]
+            busy = frequent_subscribers(counted, limits, slide=burst_slide)
+            frame, mode, every = frequency_anomalies(busy, limits), "append", metrics_every
+            sink = table_sink(store, "anomalies")
         else:
             metric, mode = METRICS[name]
             counted = exact_amounts(split_by_rules(events, forgiven)[0])
             frame, every = metric(counted), metrics_every
-            sink = table_sink(store, "real_time_metrics", keyed=True)
+            sink = metrics_sink or table_sink(store, "real_time_metrics", keyed=True)
         queries.append(start(frame, sink, name, checkpoint, mode, every if continuous else None))
     return queries
 

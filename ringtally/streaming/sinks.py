@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringtally.operators.anomalies import find_anomalies
-from ringtally.operators.events import event_json, exact_amounts, split_by_rules, validate
+from ringtally.operators.events import exact_amounts, original_text, split_by_rules, validate
 from ringtally.schema import Limits
 from ringtally.sources import jdbc
 from ringtally.sources.store import Store
@@ -20,6 +20,9 @@ Sink = Callable[[DataFrame, int], None]
 # The time of a batch's first try, taken in the streaming plan, where every try has the same.
 SEEN_AT = "seen_at"
 
+# What the archive takes all the same: events without a time, below no day.
+FORGIVEN = ("timestamp_missing",)
+
 
 def load_id(batch: DataFrame, batch_id: int) -> str:
     """The same for every try of a batch; a new checkpoint has a new query id."""
@@ -52,18 +55,19 @@ def archive_sink(store: Store, limits: Limits = Limits()) -> Sink:
             if kept.isEmpty():
                 return
             piece = load_id(batch, batch_id)
-            good, refused = split_by_rules(kept, tolerated=("timestamp_missing",))
+            good, refused = split_by_rules(kept, FORGIVEN)
             seen_at = F.col(SEEN_AT) if SEEN_AT in kept.columns else None
             # Limits are tested on the values as they came: none is too large to be reported.
             found = find_anomalies(validate(kept), limits, seen_at, with_event=True)
             found, _ = split_by_rules(found, table="anomalies")
             store.load("raw_events", exact_amounts(good), piece, layout=None)
-            store.load(
-                "quarantined_events",
-                refused.withColumn("event_data", event_json()),
-                piece,
-                layout=None,
+            refused = refused.withColumns(
+                {
+                    "event_data": original_text(refused),
+                    "created_at": F.current_timestamp() if seen_at is None else seen_at,
+                }
             )
+            store.load("quarantined_events", refused, piece, layout=None)
             store.load("anomalies", found, piece, layout=None)
         finally:
             kept.unpersist()

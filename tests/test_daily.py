@@ -96,6 +96,17 @@ def test_daily_job(spark, store):
     ]
 
 
+def test_daily_job_compacts_and_expires_tables(spark, store):
+    for i, rows in enumerate((day_of(60), day_of(60, 1), [event("late")])):
+        store.load("raw_events", frame(spark, *rows), f"load-{i}")
+    run_rollups(store, dt.date(2024, 3, 1))
+    summary = run_daily(store, DAY, keep_days={"raw_events": 5, "daily_stats": 30}, compact=True)
+    assert summary["compacted"] == ["raw_events"] and summary["raw_events"] == 121
+    assert [d.day for d in summary["expired"]["raw_events"]] == [1]
+    assert [d.day for d in store.days("daily_stats")] == [1, 10]
+    assert {r.load_id for r in store.read("raw_events").collect()} == {"compacted"}
+
+
 def test_daily_job_stops_at_the_gate_and_logs_it(spark, store):
     store.load("raw_events", frame(spark, *day_of(99)), "x")
     with pytest.raises(QualityError, match="only 99 events"):

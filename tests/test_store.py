@@ -86,7 +86,45 @@ def test_one_large_day_is_written_as_several_files(spark, store):
     assert got.select(F.input_file_name().alias("f")).distinct().count() > 2
 
 
-def test_only_tables_by_day_expire(store):
+def test_every_table_expires_by_day(spark, store):
+    for table in TABLES:
+        assert store.expire(table, DAY, 3) == []
+    windows = [event("a", time=at(day=1)), event("b", time=at(day=9))]
+    store.load("real_time_metrics", event_type_metrics(frame(spark, *windows)))
+    store.load("real_time_metrics", cumulative_metrics(frame(spark, *windows)))
+    assert [d.day for d in store.expire("real_time_metrics", DAY, 3)] == [1]
+    left = {(r.metric_type, r.window_date) for r in store.read("real_time_metrics").collect()}
+    assert left == {("event_type_5min", dt.date(2024, 3, 9)), ("batch_metrics", None)}
+
+
+def part_files(store, table, day):
+    from pathlib import Path
+
+    return list(Path(store.path(table)).glob(f"*={day}/**/*.parquet"))
+
+
+def test_a_closed_day_of_many_loads_is_compacted(spark, store):
+    for i in range(20):
+        rows = frame(spark, event(f"a{i}"), event(f"b{i}", time=at(day=11)))
+        store.load("raw_events", rows, f"load-{i}", layout=None)
+    before = sorted(map(tuple, store.read("raw_events").drop("load_id").collect()), key=repr)
+    assert len(part_files(store, "raw_events", DAY)) >= 20
+    assert [store.compact("raw_events", DAY) for _ in range(2)] == [True, False]
+    assert len(part_files(store, "raw_events", DAY)) == 1
+    assert len(part_files(store, "raw_events", "2024-03-11")) >= 20
+    assert sorted(map(tuple, store.read("raw_events").drop("load_id").collect()), key=repr) == before
+    assert [d.day for d in store.days("raw_events")] == [10, 11]
+    assert not store.compact("raw_events", dt.date(2024, 1, 1))
     with pytest.raises(ValueError):
-        store.expire("real_time_metrics", DAY, 3)
-    assert store.expire("anomalies", DAY, 3) == []
+        store.compact("daily_stats", DAY)
+
+
+def test_a_compaction_that_was_cut_off_is_finished(spark, store):
+    for i in range(3):
+        store.load("raw_events", frame(spark, event(f"a{i}")), f"load-{i}")
+    fs, folder = store._files(f"{store.path('raw_events')}/event_date={DAY}")
+    _, old = store._files(f"{store.path('raw_events')}/_replaced/event_date={DAY}")
+    fs.mkdirs(old.getParent())
+    assert fs.rename(folder, old)  # what a crash between the two renames leaves
+    assert store.compact("raw_events", DAY)
+    assert sorted(r.event_id for r in store.read("raw_events").collect()) == ["a0", "a1", "a2"]

@@ -12,7 +12,7 @@ from ringtally.sources.messages import text_messages
 from ringtally.sources.sample import wire_events
 from ringtally.sources.store import Store
 from ringtally.streaming.jobs import await_all, decoded_events, drain, start, start_streams
-from ringtally.streaming.runlog import log_stream
+from ringtally.streaming.runlog import StreamTotals, log_stream
 from ringtally.streaming.sinks import jdbc_sink
 from tests.rows import at, event, frame
 
@@ -216,6 +216,82 @@ def test_run_log_of_a_finished_stream(spark, store, inbox, folder):
     assert row.started_at.year >= 2025 and row.completed_at >= row.started_at
 
 
+def test_run_log_knows_batches_spark_has_forgotten(spark, store, inbox, folder):
+    totals = StreamTotals()
+    spark.streams.addListener(totals)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for i in range(5):
+            inbox.put(wire(f"a{i}", at(i)), wire(f"b{i}", at(i), kind="fax"), "not json")
+        queries = start_streams(inbox.stream(spark), store, folder + "/cp", ("archive",), continuous=False)
+        await_all(queries)
+        assert len(queries[0].recentProgress) <= 2
+        log_stream(store, queries[0], totals)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(totals)
+    row = store.read("pipeline_monitoring").first()
+    assert (row.status, row.records_processed, row.records_failed) == ("completed", 15, 10)
+    assert store.read("quarantined_events").count() == 10
+
+
+def test_refused_messages_keep_their_text(spark, store, inbox, folder):
+    sent = {
+        "cut": wire("cut", at(0))[:40],
+        "type": wire("type", at(0), duration_seconds="12 s", extra="more"),
+        "time": wire("time", None, extra=1).replace('"timestamp": null', '"timestamp": "soon"'),
+        "fax": wire("fax", at(0), kind="fax", extra=[1, 2]),
+        "": "",
+    }
+    inbox.put(*sent.values(), wire("good", at(0), extra="ignored"), wire("no_time", None))
+    names = ("archive", "metrics_5min")
+    await_all(start_streams(inbox.stream(spark), store, folder + "/cp", names, continuous=False))
+    assert ids(store.read("raw_events")) == ["good", "no_time"]
+    refused = {r.event_data: r.broken_rules for r in store.read("quarantined_events").collect()}
+    assert set(refused) == set(sent.values())
+    assert refused[sent["type"]] == "field_unreadable"
+    assert refused[sent["time"]] == "timestamp_missing,field_unreadable"
+    assert refused[sent["fax"]] == "event_type_unknown"
+    assert refused[sent["cut"]].endswith("field_unreadable")
+
+
+def test_a_burst_over_a_window_border_becomes_an_anomaly(spark, store, inbox, folder):
+    inbox.put(*[wire(f"e{i}", at(4.5 + i / 100)) for i in range(3)])
+    inbox.put(*[wire(f"f{i}", at(5.1 + i / 100)) for i in range(3)], wire("x", at(5), msisdn="calm"))
+    inbox.put(wire("end", at(60)))
+    limits = Limits(events_per_window=5)
+    for _ in range(2):
+        stream = inbox.stream(spark)
+        await_all(
+            start_streams(stream, store, folder + "/cp", ("high_frequency",), limits, continuous=False)
+        )
+    found = store.read("anomalies").collect()
+    assert sorted(r.event_id[-27:-11] for r in found) == [f"2024-03-10T12:0{m}" for m in (1, 2, 3, 4)]
+    assert {(r.msisdn, r.anomaly_type, r.anomaly_reason, r.severity) for r in found} == {
+        ("7701234****", "high_frequency", "6 events in 5 minutes", "high")
+    }
+    assert frequent_subscribers(ev.exact_amounts(stored(spark, inbox)), limits).count() == 0
+    batch = frequent_subscribers(ev.exact_amounts(stored(spark, inbox)), limits, slide="1 minute")
+    odd = frequent_subscribers(stored(spark, inbox), limits, slide="90 seconds")
+    assert batch.count() == 4 and odd.count() > 0
+
+
+def stored(spark, inbox):
+    return decoded_events(spark.read.text(str(inbox.path)))
+
+
+def test_metrics_can_go_elsewhere(spark, store, inbox, folder):
+    seen = []
+    inbox.put(wire("a", at(0)), wire("end", at(30)))
+    inbox.put(wire("later", at(31)))
+    queries = start_streams(
+        inbox.stream(spark), store, folder + "/cp", ("metrics_5min",), continuous=False,
+        metrics_sink=lambda batch, batch_id: seen.extend(r.count_events for r in batch.collect()),
+    )
+    await_all(queries)
+    assert seen == [1] and store.read("real_time_metrics").count() == 0
+
+
 def test_database_sink_skips_empty_batches(spark, inbox, folder, monkeypatch):
     """No database here: the write itself is replaced."""
     from ringtally.sources import jdbc
