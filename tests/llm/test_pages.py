@@ -129,3 +129,17 @@ def test_recall(spark):
     got = adaptive_scan.search(vectors(spark, rows), F.col("vec_id") % 100 == 0).collect()
     hits = sum(r.vec_id in {i for _, i in exact(rows, q)} for q in range(0, 3000, 100) for r in got if r.query_id == q)
     assert hits >= 0.9 * 30 * 20
+
+
+def test_recall_where_a_tight_group_is_stored_first(spark):
+    rng = np.random.default_rng(3)
+    tight = rng.normal(size=32) + 0.01 * rng.normal(size=(1000, 32))
+    centres = 0.4 * rng.normal(size=(10, 32))
+    rest = centres[np.arange(2000) // 200] + rng.normal(size=(2000, 32))  # sorted by cluster
+    points = np.vstack([tight, rest])
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    got = adaptive_scan.search(vectors(spark, rows).coalesce(1), F.col("vec_id") % 50 == 0).collect()
+    found = {q: {r.vec_id for r in got if r.query_id == q} for q in range(0, 3000, 50)}
+    hard = [len(found[q] & {i for _, i in exact(rows, q)}) / 20 for q in range(1000, 3000, 50)]
+    assert np.mean(hard) >= 0.95 and min(hard) >= 0.7
