@@ -1,14 +1,16 @@
 """Quality rules whose cutoffs are certified on labelled documents.
 
 Every rule rejects documents whose rate (say, symbols per word) is above a cutoff. For each
-stratum (language) the cutoffs of a rule's fixed grid are tested from the most lenient on:
-a cutoff passes if, were the chance of rejecting a good document above the rule's share of
-``risk``, so few rejections among the labelled good ones would be less probable than the
-rule's share of ``delta`` (an exact binomial tail). Testing ends at the first failure, so a
-grid needs no correction; rules and strata share ``delta`` equally. Of the certified cutoffs
-the one that separates bad from good best is used; a rule that rejects no more bad than good
-documents, or has too few labels to be certified, is off in that stratum. With probability
-1 - ``delta`` no stratum rejects more than ``risk`` of its good documents beyond the base rules.
+stratum (language) the rules are tested together, along PATH: it starts with the most lenient
+cutoff of every rule in turn, then come the next ones. A step passes if, were the chance that
+the rules so far reject a good document above ``risk``, so few rejections among the labelled
+good ones would be less probable than the stratum's share of ``delta`` (an exact binomial
+tail). Testing ends at the first failure, so the order, which is fixed, needs no correction;
+only the strata share ``delta``. Any cutoffs no stricter than the last step reject less than it
+does, so of these each rule takes the one that separates bad from good best; a rule that
+rejects no more bad than good documents, or that testing did not reach, is off in that stratum.
+With probability 1 - ``delta`` no stratum rejects more than ``risk`` of its good documents
+beyond the base rules.
 """
 
 from __future__ import annotations
@@ -48,6 +50,7 @@ RULES = (
     Rule("repeats", "n_repeat_words", "n_words", (0.28, 0.26, 0.24, 0.22, 0.2)),
     Rule("echoes", "n_echo_words", "n_words", (0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2)),
 )
+PATH = tuple((r, i) for i in range(max(len(r.cutoffs) for r in RULES)) for r in RULES if i < len(r.cutoffs))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_echo_words")
 
 
@@ -153,16 +156,20 @@ def certified(scores: DataFrame, labels: DataFrame, risk: float = RISK, delta: f
     0 bad, others unused). A document labelled both ways counts as bad."""
     known = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     held_out = scores.where(~base_failed()).join(known, "doc_id")
-    tests = [(r, i, c) for r in RULES for i, c in enumerate(r.cutoffs)]
+    tests = [(r, i, r.cutoffs[i]) for r, i in PATH]
+    # The first step of the path that rejects the document.
+    first = F.least(*[F.when(r.rate() > c, F.lit(place)) for place, (r, _, c) in enumerate(tests)])
+    held_out = held_out.withColumn("first", first)
     good = F.col("quality") == 1
     sums = held_out.groupBy("stratum").agg(
         F.count_if(good).alias("good"),
         F.count_if(~good).alias("bad"),
+        *[F.count_if(good & (F.col("first") <= place)).alias(f"lost_{place}") for place in range(len(tests))],
         *[F.count_if(good & (r.rate() > c)).alias(f"good_{r.name}_{i}") for r, i, c in tests],
         *[F.count_if(~good & (r.rate() > c)).alias(f"bad_{r.name}_{i}") for r, i, c in tests],
     )
     sums = staged(sums, "quality-sums")
-    share = delta / (len(RULES) * max(1, sums.count()))
+    share = delta / max(1, sums.count())
     rows = sums.select(
         "stratum",
         "good",
@@ -172,19 +179,20 @@ def certified(scores: DataFrame, labels: DataFrame, risk: float = RISK, delta: f
                 *[
                     F.struct(
                         F.lit(r.name).alias("rule"),
-                        F.lit(i).alias("step"),
+                        F.lit(place).alias("step"),
+                        F.col(f"lost_{place}").alias("lost"),
                         F.lit(c).alias("cutoff"),
                         F.col(f"good_{r.name}_{i}").alias("good_lost"),
                         F.col(f"bad_{r.name}_{i}").alias("bad_lost"),
                     )
-                    for r, i, c in tests
+                    for place, (r, i, c) in enumerate(tests)
                 ]
             )
         ),
     )
-    passed = binomial_tail(F.col("good_lost"), F.col("good"), risk / len(RULES)) <= share
-    # At most as many rows per window as a grid has cutoffs.
-    so_far = Window.partitionBy("stratum", "rule").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    passed = binomial_tail(F.col("lost"), F.col("good"), risk) <= share
+    # As many rows per window as the path has steps.
+    so_far = Window.partitionBy("stratum").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
     gain = F.col("bad_lost") / F.greatest("bad", F.lit(1)) - F.col("good_lost") / F.greatest("good", F.lit(1))
     return (
         rows.withColumn("passed", passed)

@@ -110,6 +110,28 @@ def test_cutoffs_are_certified(spark, documents):
     assert all(rows.values())
 
 
+def test_languages_with_few_labels_are_certified(spark, documents):
+    langs = ("de", "en", "es", "fr")
+    good = [(1000 * k + i, prose(1000 * k + i, 30), lang) for k, lang in enumerate(langs) for i in range(310)]
+    bad = [(9000 + 100 * k + i, prose(i, 30).replace(" ", " # "), lang) for k, lang in enumerate(langs) for i in range(30)]
+    labels = [(r[0], 1, 0) for r in good] + [(r[0], 0, 0) for r in bad]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rows = {r.doc_id: r.kept for r in quality_rules.judged(documents(*good, *bad), labels).collect()}
+    assert all(rows[r[0]] for r in good) and not any(rows[r[0]] for r in bad)
+
+
+def test_rules_share_one_risk(spark, documents):
+    """Each rule alone may reject 14 of 1500 good documents, both together may not."""
+    odd = [(i, prose(i, 30).replace(" ", " #### ")) for i in range(14)]
+    odd += [(i, " ".join(f"{w} " * 6 for w in prose(i, 30).split()).strip()) for i in range(14, 28)]
+    good = odd + [(i, prose(i, 30)) for i in range(28, 1500)]
+    bad = [(5000 + i, t) for i, (_, t) in enumerate(odd * 10)]
+    labels = [(i, 1, 0) for i, _ in good] + [(i, 0, 0) for i, _ in bad]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rows = quality_rules.judged(documents(*good, *bad), labels).collect()
+    assert 0 < sum(not r.kept and r.doc_id < 5000 for r in rows) <= 14
+
+
 def test_binomial_tail(spark):
     from math import comb
 
