@@ -1,11 +1,13 @@
 """Main text of pages, without what a site repeats.
 
-Every element subtree of a page is hashed; Spark counts, per host, the pages each hash occurs
-on. A subtree that occurs on at least LEAST_PAGES pages and LEAST_SHARE of its host's pages is
-a template and is deleted, except where it holds half of a page's text or more, or is a
-paragraph, heading, list or table inside an article, which stay however often the article was
-copied. Menus, headers, footers, sidebars, notices, adverts, forms and comments are also known
-by tag, role or class, since small hosts repeat too little to show them.
+Every element subtree of a page is hashed; Spark counts, per host, the distinct pages (by hash of
+the whole page) each hash occurs on, so that copies of a page are no evidence. Only on hosts with
+fewer than LEAST_PAGES distinct pages do rows count, and only for blocks without prose. A subtree
+that occurs on at least LEAST_PAGES pages and LEAST_SHARE of its host's pages is a template and
+is deleted, unless all that goes were half of a page's text or more (then prose stays), or it is
+or holds a paragraph, heading, list or table of the main part. Menus, headers, footers, sidebars,
+notices, adverts, forms and comments are also known by tag, role or class, since small hosts
+repeat too little to show them.
 
 A host has at most (elements per page / LEAST_SHARE) templates, so its list is short whatever
 the number of its pages; counting is combined in the tasks, so a large host is spread.
@@ -64,28 +66,45 @@ def is_chrome(tree: Tree, i: int, in_main: bool) -> bool:
     return not CHROME_WORDS.isdisjoint(words)
 
 
-def candidates(tree: Tree) -> list[bool]:
-    """Elements that may be deleted as templates."""
-    in_main = [False] * len(tree.tags)
-    out = []
+def main_parts(tree: Tree) -> list[bool]:
+    """Elements that are, or are inside, an article, a main tag or an element with that role."""
+    out: list[bool] = []
     for i, (tag, parent) in enumerate(zip(tree.tags, tree.parents)):
-        in_main[i] = tag in MAIN_TAGS or (parent >= 0 and in_main[parent])
-        out.append(tag not in INLINE and not (tag in PROSE and (in_main[i] or tag in ("body", "html", "#page"))))
+        role = tree.attributes[i] and tree.named(i).get("role", "").lower()
+        out.append(tag in MAIN_TAGS or role == "main" or (parent >= 0 and out[parent]))
     return out
 
 
-def subtree_hashes(page: str | None) -> list[int]:
-    """Distinct hashes of a page's subtrees that may be templates."""
+def prose_parts(tree: Tree) -> list[bool]:
+    """Elements that are, or hold, a paragraph, heading, list or table."""
+    out = [tag in PROSE for tag in tree.tags]
+    for i in range(len(out) - 1, 0, -1):
+        if out[i]:
+            out[tree.parents[i]] = True
+    return out
+
+
+def candidates(tree: Tree, in_main: list[bool], prose: list[bool]) -> list[bool]:
+    """Elements that may be deleted as templates; prose of the main part never is."""
+    return [
+        tag not in INLINE and tag not in ("body", "html", "#page") and not (in_main[i] and prose[i])
+        for i, tag in enumerate(tree.tags)
+    ]
+
+
+def subtree_hashes(page: str | None) -> list[tuple[int, bool]]:
+    """Distinct hashes of a page's subtrees that may be templates, and whether they hold prose."""
     if not page:
         return []
     tree = parse(page)
-    able = candidates(tree)
+    prose = prose_parts(tree)
+    able = candidates(tree, main_parts(tree), prose)
     has_text = {i for i, text in tree.events if text and not text.isspace()}
     for i in range(len(tree.tags) - 1, 0, -1):
         if i in has_text:
             has_text.add(tree.parents[i])
     hashes = tree.hashes()
-    return list({int.from_bytes(hashes[i], "big", signed=True) for i in has_text if able[i]})
+    return list({(int.from_bytes(hashes[i], "big", signed=True), prose[i]) for i in has_text if able[i]})
 
 
 def main_text(page: str | None, templates: set[int]) -> str:
@@ -94,7 +113,8 @@ def main_text(page: str | None, templates: set[int]) -> str:
         return ""
     tree = parse(page)
     n = len(tree.tags)
-    able, hashes = candidates(tree), tree.hashes()
+    prose, hashes = prose_parts(tree), tree.hashes()
+    able = candidates(tree, main_parts(tree), prose)
     dropped, in_main = [False] * n, [False] * n
     for i in range(n):
         parent = tree.parents[i]
@@ -111,10 +131,19 @@ def main_text(page: str | None, templates: set[int]) -> str:
                 size[i] += len(text.strip())
         for i in range(n - 1, 0, -1):
             size[tree.parents[i]] += size[i]
-        gone = [False] * n
-        for i in range(n):
-            known = able[i] and 2 * size[i] < size[0] and int.from_bytes(hashes[i], "big", signed=True) in templates
-            gone[i] = known or (tree.parents[i] >= 0 and gone[tree.parents[i]])
+        known = [
+            able[i] and 2 * size[i] < size[0] and int.from_bytes(hashes[i], "big", signed=True) in templates
+            for i in range(n)
+        ]
+        # All that goes is less than half of the text; else prose stays, and if need be everything.
+        for spared in (lambda i: False, lambda i: prose[i], lambda i: True):
+            gone, total = [False] * n, 0
+            for i in range(n):
+                above = tree.parents[i] >= 0 and gone[tree.parents[i]]
+                gone[i] = above or (known[i] and not spared(i))
+                total += size[i] if gone[i] and not above else 0
+            if 2 * total < size[0] or not total:
+                break
         kept = [k and not g for k, g in zip(kept, gone)]
     blocks, now = [], []
     for i, text in [*tree.events, (0, None)]:
@@ -133,12 +162,21 @@ def templates_by_host(pages: DataFrame) -> DataFrame:
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [subtree_hashes(p) for p in batch["html"]]
-            yield pd.DataFrame({"host": batch["host"], "hash": found}).explode("hash").dropna()
-
-    counts = pages.select("host", "html").where("host IS NOT NULL").mapInPandas(hashed, "host string, hash long")
-    counts = counts.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= LEAST_PAGES)
-    sizes = pages.where("host IS NOT NULL").groupBy("host").agg(F.count(F.lit(1)).alias("all"))
-    often = counts.join(sizes, "host").where(F.col("pages") >= LEAST_SHARE * F.col("all"))
+            rows = pd.DataFrame({"host": batch["host"], "body": batch["body"], "found": found})
+            rows = rows.explode("found").dropna()
+            rows["hash"], rows["prose"] = [f[0] for f in rows["found"]], [f[1] for f in rows["found"]]
+            yield rows[["host", "body", "hash", "prose"]]
+
+    known = pages.select("host", "body", "html").where("host IS NOT NULL")
+    seen = known.mapInPandas(hashed, "host string, body long, hash long, prose boolean")
+    seen = seen.groupBy("host", "body", "hash", "prose").agg(F.count(F.lit(1)).alias("n"))
+    counts = seen.groupBy("host", "hash", "prose").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("pages"))
+    sizes = known.groupBy("host", "body").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("host").agg(F.sum("n").alias("all_rows"), F.count(F.lit(1)).alias("all"))
+    # Where a host has little but copies, its rows tell what is no prose.
+    by_rows = (F.col("all") < LEAST_PAGES) & ~F.col("prose")
+    n, of = [F.when(by_rows, F.col(a)).otherwise(F.col(b)) for a, b in (("rows", "pages"), ("all_rows", "all"))]
+    often = counts.join(sizes, "host").where((n >= LEAST_PAGES) & (n >= LEAST_SHARE * of))
     return often.groupBy("host").agg(F.collect_list("hash").alias("templates"))
 
 
@@ -147,12 +185,12 @@ def extract(pages: DataFrame) -> DataFrame:
 
     A NULL or empty page, or one without main text, has the empty text. A NULL url, or one
     without a host, belongs to no site: nothing is deleted there but what tags and classes
-    tell. Rows that repeat a page count, and are returned, as often as they occur. Tags left
+    tell. Rows that repeat a page are returned as often as they occur. Tags left
     open or never opened are mended as browsers do; other columns are ignored.
     """
     small_batches(pages.sparkSession)
     host = F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    rows = pages.select("page_id", "url", "html", F.when(host != "", host).alias("host"))
+    rows = pages.select("page_id", "url", "html", F.when(host != "", host).alias("host"), F.xxhash64("html").alias("body"))
     found = staged(templates_by_host(rows).withColumnRenamed("host", "of"), "templates")
     if found.count() <= BROADCAST_HOSTS:
         found = F.broadcast(found)

@@ -89,6 +89,19 @@ def test_copied_articles_stay(pages):
     assert set(text_of(template_removal.extract(pages(*rows))).values()) == {("Long story told again. " * 9).strip()}
 
 
+def test_copied_pages_of_several_paragraphs_stay(pages):
+    story = [f"Paragraph {k} of a story that was copied." for k in range(4)]
+    parts = "".join(f"<p>{t}</p>" for t in story)
+    sections = "".join(f"<section><p>{t}</p></section>" for t in story)
+    bodies = [f"<div>{parts}</div>", f"<div role=main>{parts}</div>", f"<article>{parts}</article>", f"<article>{sections}</article>"]
+    for body in bodies:
+        rows = [(i, "http://h.com/a", f"<body>{body}</body>") for i in range(8)]
+        rows += [(10 + i, "http://h.com/b", f"<body><div><p>Another page, number {i}.</p></div></body>") for i in range(8)]
+        rows += [(20 + i, "http://k.com/a", f"<body><!-- {i} -->{body}</body>") for i in range(8)]
+        got = text_of(template_removal.extract(pages(*rows)))
+        assert {got[i] for i in (*range(8), *range(20, 28))} == {"\n\n".join(story)}
+
+
 def test_deep_and_broken_pages(pages):
     rows = [(1, "http://h.com", "<div>" * 5000 + "deep"), (2, "http://h.com", "</p></div><p>a<p>b</article>"), (3, "http://h.com", "<script>never closed")]
     assert text_of(template_removal.extract(pages(*rows))) == {1: "deep", 2: "a\n\nb", 3: ""}
