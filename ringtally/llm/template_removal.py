@@ -3,14 +3,15 @@
 Every element subtree of a page is hashed; Spark counts, per host, the distinct pages (by hash of
 the whole page) each hash occurs on, so that copies of a page are no evidence. Only on hosts with
 fewer than LEAST_PAGES distinct pages do rows count, and only for blocks without prose. A subtree
-that occurs on at least LEAST_PAGES pages and LEAST_SHARE of its host's pages is a template and
-is deleted, unless all that goes were half of a page's text or more (then prose stays), or it is
+that occurs on at least LEAST_PAGES pages, and on as many as the square root of its host's pages, is
+a template and is deleted, unless all that goes were half of a page's text or more (then prose stays), or it is
 or holds a paragraph, heading, list or table of the main part. Menus, headers, footers, sidebars,
 notices, adverts, forms and comments are also known by tag, role or class, since small hosts
 repeat too little to show them.
 
-A host has at most (elements per page / LEAST_SHARE) templates, so its list is short whatever
-the number of its pages; counting is combined in the tasks, so a large host is spread.
+Subtrees meet the templates under host and hash, and a page gets those that are on it, so the
+number of a host's templates has no bound; counting is combined in the tasks, so a large host is
+spread.
 """
 
 from __future__ import annotations
@@ -26,8 +27,6 @@ from ringtally.llm.common import small_batches, staged
 from ringtally.llm.html_tree import INLINE, RAW, Tree, parse
 
 LEAST_PAGES = 5
-LEAST_SHARE = 0.3
-BROADCAST_HOSTS = 5_000  # rows of templates; beyond, the join is left to Spark
 
 CHROME_TAGS = RAW | frozenset(
     "head nav header footer aside form template svg math object audio video canvas button select"
@@ -156,8 +155,9 @@ def main_text(page: str | None, templates: set[int]) -> str:
     return "\n\n".join(blocks)
 
 
-def templates_by_host(pages: DataFrame) -> DataFrame:
-    """``host`` and the hashes of its templates. Rows without a host have none."""
+def templates_by_page(pages: DataFrame) -> DataFrame:
+    """``host``, ``body`` and the hashes of the templates on such a page. Rows without a host
+    have none."""
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -170,14 +170,16 @@ def templates_by_host(pages: DataFrame) -> DataFrame:
     known = pages.select("host", "body", "html").where("host IS NOT NULL")
     seen = known.mapInPandas(hashed, "host string, body long, hash long, prose boolean")
     seen = seen.groupBy("host", "body", "hash", "prose").agg(F.count(F.lit(1)).alias("n"))
+    seen = staged(seen, "template-subtrees")
     counts = seen.groupBy("host", "hash", "prose").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("pages"))
     sizes = known.groupBy("host", "body").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.groupBy("host").agg(F.sum("n").alias("all_rows"), F.count(F.lit(1)).alias("all"))
     # Where a host has little but copies, its rows tell what is no prose.
     by_rows = (F.col("all") < LEAST_PAGES) & ~F.col("prose")
     n, of = [F.when(by_rows, F.col(a)).otherwise(F.col(b)) for a, b in (("rows", "pages"), ("all_rows", "all"))]
-    often = counts.join(sizes, "host").where((n >= LEAST_PAGES) & (n >= LEAST_SHARE * of))
-    return often.groupBy("host").agg(F.collect_list("hash").alias("templates"))
+    often = counts.join(sizes, "host").where((n >= LEAST_PAGES) & (n >= F.sqrt(of)))
+    found = seen.join(often.select("host", "hash", "prose"), ["host", "hash", "prose"], "left_semi")
+    return found.groupBy("host", "body").agg(F.collect_list("hash").alias("templates"))  # at most a page's elements
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -191,20 +193,12 @@ def extract(pages: DataFrame) -> DataFrame:
     small_batches(pages.sparkSession)
     host = F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     rows = pages.select("page_id", "url", "html", F.when(host != "", host).alias("host"), F.xxhash64("html").alias("body"))
-    found = staged(templates_by_host(rows).withColumnRenamed("host", "of"), "templates")
-    if found.count() <= BROADCAST_HOSTS:
-        found = F.broadcast(found)
+    found = templates_by_page(rows).withColumnsRenamed({"host": "of", "body": "like"})
 
     def texts(htmls: pd.Series, lists: pd.Series) -> pd.Series:
-        known: dict[bytes, set[int]] = {}
-        out = []
-        for page, templates in zip(htmls, lists):
-            key = b"" if templates is None else templates.tobytes()
-            if key not in known:
-                known[key] = set() if templates is None else set(templates.tolist())
-            out.append(main_text(page, known[key]))
-        return pd.Series(out, dtype=object)
-
-    joined = rows.join(found, F.col("host") == F.col("of"), "left")
+        known = [set() if t is None else set(t.tolist()) for t in lists]
+        return pd.Series([main_text(page, t) for page, t in zip(htmls, known)], dtype=object)
+
+    joined = rows.join(found, (F.col("host") == F.col("of")) & (F.col("body") == F.col("like")), "left")
     text = F.pandas_udf(texts, "string")(F.col("html"), F.col("templates"))
     return joined.select("page_id", "url", "host", text.alias("text"))

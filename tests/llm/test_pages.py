@@ -102,6 +102,13 @@ def test_copied_pages_of_several_paragraphs_stay(pages):
         assert {got[i] for i in (*range(8), *range(20, 28))} == {"\n\n".join(story)}
 
 
+def test_blocks_of_one_section_of_a_large_host_go(pages):
+    rows = [(i, f"http://h.com/{i}", f"<body><div>Box of section {i % 5}</div><div><p>Story {i} " + "and so on " * 9 + "</p></div></body>")
+            for i in range(200)]
+    got = text_of(template_removal.extract(pages(*rows)))
+    assert all(got[i] == f"Story {i} " + ("and so on " * 9).strip() for i in range(200))
+
+
 def test_deep_and_broken_pages(pages):
     rows = [(1, "http://h.com", "<div>" * 5000 + "deep"), (2, "http://h.com", "</p></div><p>a<p>b</article>"), (3, "http://h.com", "<script>never closed")]
     assert text_of(template_removal.extract(pages(*rows))) == {1: "deep", 2: "a\n\nb", 3: ""}
