@@ -7,7 +7,8 @@ that occurs on at least LEAST_PAGES pages, and on as many as the square root of
 a template and is deleted, unless all that goes were half of a page's text or more (then prose stays), or it is
 or holds a paragraph, heading, list or table of the main part. Menus, headers, footers, sidebars,
 notices, adverts, forms and comments are also known by tag, role or class, since small hosts
-repeat too little to show them.
+repeat too little to show them; in the main part only by the class or role of a block, never of a
+heading or paragraph or by an id, and ambiguous classes only where the block recurs on the host.
 
 Subtrees meet the templates under host and hash, and a page gets those that are on it, so the
 number of a host's templates has no bound; counting is combined in the tasks, so a large host is
@@ -40,6 +41,14 @@ CHROME_WORDS = frozenset(
     " share sharing social related recommended newsletter subscribe subscription signup login search"
     " pagination pager toolbar widget widgets".split()
 )
+# In the main part these classes go only where the block recurs on the host as well.
+AMBIGUOUS = frozenset(
+    "banner promotion notice notices alert popup modal overlay navigation menu header footer masthead comment"
+    " reply replies respond share sharing social related recommended subscription signup login search"
+    " toolbar widget widgets".split()
+)
+CLEAR_WORDS = CHROME_WORDS - AMBIGUOUS
+NAMED_IN_MAIN = frozenset("div aside section ul form".split())
 MAIN_TAGS = frozenset(("article", "main"))
 PROSE = frozenset(
     "p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tfoot tr td th figure figcaption"
@@ -57,12 +66,29 @@ def is_chrome(tree: Tree, i: int, in_main: bool) -> bool:
     if not tree.attributes[i] or tag in ("html", "body", "#page"):
         return False
     named = tree.named(i)
-    if named.get("role", "").lower() in CHROME_ROLES or "hidden" in named or named.get("aria-hidden") == "true":
+    if "hidden" in named or named.get("aria-hidden") == "true":
+        return True
+    if in_main and tag not in NAMED_IN_MAIN:
+        return False
+    role = named.get("role", "").lower()
+    if role in CHROME_ROLES:
         return True
-    if tag in MAIN_TAGS and "comment" not in named.get("class", ""):
+    if (tag in MAIN_TAGS or role == "main") and "comment" not in named.get("class", ""):
         return False
-    words = WORD.findall(f"{named.get('class', '')} {named.get('id', '')}".lower())
-    return not CHROME_WORDS.isdisjoint(words)
+    if in_main:
+        return not CLEAR_WORDS.isdisjoint(class_words(named))
+    return not CHROME_WORDS.isdisjoint([*class_words(named), *WORD.findall(named.get("id", "").lower())])
+
+
+def class_words(named: dict[str, str]) -> list[str]:
+    return WORD.findall(named.get("class", "").lower())
+
+
+def is_ambiguous(tree: Tree, i: int) -> bool:
+    """A block of the main part that is chrome if it recurs."""
+    if tree.tags[i] not in NAMED_IN_MAIN or not tree.attributes[i]:
+        return False
+    return not AMBIGUOUS.isdisjoint(class_words(tree.named(i)))
 
 
 def main_parts(tree: Tree) -> list[bool]:
@@ -84,9 +110,11 @@ def prose_parts(tree: Tree) -> list[bool]:
 
 
 def candidates(tree: Tree, in_main: list[bool], prose: list[bool]) -> list[bool]:
-    """Elements that may be deleted as templates; prose of the main part never is."""
+    """Elements that may be deleted as templates; prose of the main part is only in
+    a block whose class says so."""
     return [
-        tag not in INLINE and tag not in ("body", "html", "#page") and not (in_main[i] and prose[i])
+        tag not in INLINE and tag not in ("body", "html", "#page")
+        and not (in_main[i] and prose[i] and not is_ambiguous(tree, i))
         for i, tag in enumerate(tree.tags)
     ]
 
@@ -113,14 +141,14 @@ def main_text(page: str | None, templates: set[int]) -> str:
     tree = parse(page)
     n = len(tree.tags)
     prose, hashes = prose_parts(tree), tree.hashes()
-    able = candidates(tree, main_parts(tree), prose)
+    main = main_parts(tree)
+    able = candidates(tree, main, prose)
     dropped, in_main = [False] * n, [False] * n
     for i in range(n):
         parent = tree.parents[i]
         above = parent >= 0 and in_main[parent]
         dropped[i] = (parent >= 0 and dropped[parent]) or is_chrome(tree, i, above)
-        in_main[i] = not dropped[i] and (above or tree.tags[i] in MAIN_TAGS or tree.named(i).get("role") == "main"
-                                         if tree.attributes[i] else above or tree.tags[i] in MAIN_TAGS)
+        in_main[i] = not dropped[i] and main[i]
     has_main = any(in_main)
     kept = [not d and (m or not has_main) for d, m in zip(dropped, in_main)]
     if templates:

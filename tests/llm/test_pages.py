@@ -109,6 +109,19 @@ def test_blocks_of_one_section_of_a_large_host_go(pages):
     assert all(got[i] == f"Story {i} " + ("and so on " * 9).strip() for i in range(200))
 
 
+def test_names_inside_an_article_are_no_proof(pages):
+    body = ('<article><div class="post-header"><h1>Title {0}</h1></div><h2 id="search-results">Results</h2>'
+            '<section id="related-work"><p>Others {0}</p></section><p class="notice">Mind {0}</p>'
+            '<div class="related"><p>Read this too</p></div><div class="ad"><p>Buy {0}</p></div>'
+            '<div class="share"><p>By {0}</p></div><p>' + "Long story. " * 9 + "</p></article>")
+    rows = [(i, "http://h.com/a", body.format(i)) for i in range(8)] + [(20, "http://k.com", body.format(20))]
+    got = text_of(template_removal.extract(pages(*rows)))
+    story = ("Long story. " * 9).strip()
+    whole = lambda i, *more: "\n\n".join([f"Title {i}", "Results", f"Others {i}", f"Mind {i}", *more, f"By {i}", story])
+    assert all(got[i] == whole(i) for i in range(8))  # the related block recurs here
+    assert got[20] == whole(20, "Read this too")
+
+
 def test_deep_and_broken_pages(pages):
     rows = [(1, "http://h.com", "<div>" * 5000 + "deep"), (2, "http://h.com", "</p></div><p>a<p>b</article>"), (3, "http://h.com", "<script>never closed")]
     assert text_of(template_removal.extract(pages(*rows))) == {1: "deep", 2: "a\n\nb", 3: ""}
