@@ -176,3 +176,7 @@ def test_recall_where_a_tight_group_is_stored_first(spark):
     found = {q: {r.vec_id for r in got if r.query_id == q} for q in range(0, 3000, 50)}
     hard = [len(found[q] & {i for _, i in exact(rows, q)}) / 20 for q in range(1000, 3000, 50)]
     assert np.mean(hard) >= 0.95 and min(hard) >= 0.7
+
+
+def test_settings_of_the_scan_are_not_lowered():
+    assert adaptive_scan.RECALL >= 0.97 and adaptive_scan.EPSILON >= 1.3
