@@ -48,3 +48,21 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_path(frame.sparkSession, "checkpoints"))
     return frame.checkpoint()
+
+
+def byte_bound(spark: SparkSession, most: int = 16 << 20) -> None:
+    """Python workers get batches of about ``most`` bytes, however long single texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
+def ranged(frame: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """The rows in order over partitions of even size, written once, with the columns ``part``
+    and ``at`` (from 0 within the part)."""
+    at = F.monotonically_increasing_id()
+    sorted_rows = frame.repartitionByRange(*order).sortWithinPartitions(*order)
+    return staged(
+        sorted_rows.withColumn("part", F.spark_partition_id()).withColumn(
+            "at", at - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+        ),
+        name,
+    )
