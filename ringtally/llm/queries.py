@@ -8,11 +8,14 @@ from ringtally.llm import (
     adaptive_scan,
     byte_bpe,
     fixity,
+    importance_resampling,
     kd_sharding,
     language_mixture,
     mixing,
     near_dedup,
     quality_rules,
+    sanitisation,
+    spelling_variants,
     template_removal,
     url_lists,
 )
@@ -86,6 +89,24 @@ def op10_language_mixture(spark, folder):
     )
 
 
+def op11_spelling_variants(spark, folder):
+    return spelling_variants.variants(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op12_importance_resampling(spark, folder):
+    docs, target = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    found = importance_resampling.resample(docs.select("doc_id", "text"), target)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_sanitisation(spark, folder):
+    found = sanitisation.private(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "row.doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans",
+    )
+
+
 QUERIES = {
     "op1_fixity": op1_fixity,
     "op2_adaptive_scan": op2_adaptive_scan,
@@ -97,4 +118,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language_mixture": op10_language_mixture,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_sanitisation": op13_sanitisation,
 }
