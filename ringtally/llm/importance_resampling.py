@@ -30,11 +30,11 @@ BUCKETS = 10_000
 LEAST_WORDS = 20
 PERCENT = 25
 SEED = 7
-HEAD_WORDS, HEAD_PAIRS = 50_000, 100_000
-# A feature with this share of all words or pairs has it in some window of every partitioning,
-# so windows report no others.
-HEAD_SHARE = 1e-5
-WINDOW = 1_000_000
+# A feature belongs to the head if its share of all words reaches this, so the head has at most
+# 40,000 words and as many pairs. It then has that share in some window of every partitioning,
+# and windows report no others.
+HEAD_SHARE = 2.5e-5
+WINDOW = 400_000  # words
 
 # Bytes of words in UTF-8 after A-Z became a-z: digits, letters, all beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -44,13 +44,15 @@ def _words(raw: bytes | None) -> list[bytes]:
     return WORD.findall(raw.lower()) if raw else []
 
 
-def _frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Words (``second`` is empty) and pairs that reach the head's share in a window of texts."""
+def _frequent(batches: Iterator[pd.DataFrame], share: float) -> Iterator[pd.DataFrame]:
+    """Words (``second`` is empty) and pairs that reach the head's share in a window of texts,
+    and the number of all words (both are empty)."""
     words, pairs, n = Counter(), Counter(), 0
 
     def window():
-        least = n * HEAD_SHARE
-        rows = [(w, b"", k) for w, k in words.items() if k >= least]
+        least = n * share
+        rows = [(b"", b"", n)]
+        rows += [(w, b"", k) for w, k in words.items() if k >= least]
         rows += [(*p, k) for p, k in pairs.items() if k >= least]
         return pd.DataFrame(rows, columns=["first", "second", "n"])
 
@@ -104,23 +106,20 @@ class Head:
         return np.concatenate([single, double]) if n else single
 
 
-def head(docs: DataFrame, buckets: int = BUCKETS) -> Head:
-    """The most frequent words and pairs of all documents; their number is bounded."""
+def head(docs: DataFrame, buckets: int = BUCKETS, share: float = HEAD_SHARE) -> Head:
+    """The frequent words and pairs of all documents; the share bounds their number."""
     texts = docs.select(F.col("text").cast("binary").alias("text"))
     counts = staged(
-        texts.mapInPandas(_frequent, "first binary, second binary, n long")
+        texts.mapInPandas(lambda b: _frequent(b, share), "first binary, second binary, n long")
         .groupBy("first", "second")
         .agg(F.sum("n").alias("n")),
         "resampling-head",
     )
-    order = [F.desc("n"), "first", "second"]
-    words = counts.where("length(second) = 0").orderBy(*order).limit(HEAD_WORDS).collect()
-    pairs = counts.where("length(second) > 0").orderBy(*order).limit(HEAD_PAIRS).collect()
-    return Head(
-        [bytes(r["first"]) for r in words],
-        [(bytes(r["first"]), bytes(r["second"])) for r in pairs],
-        buckets,
-    )
+    is_total = F.length("first") == 0
+    total = counts.where(is_total).agg(F.sum("n")).first()[0] or 0
+    frequent = counts.where(~is_total & (F.col("n") >= total * share)).select("first", "second").collect()
+    features = [(bytes(r["first"]), bytes(r["second"])) for r in frequent]
+    return Head([a for a, b in features if not b], [f for f in features if f[1]], buckets)
 
 
 def featured(docs: DataFrame, known: Head, keep: list[str]) -> DataFrame:
@@ -230,6 +229,7 @@ def resample(
     percent: int = PERCENT,
     least_words: int = LEAST_WORDS,
     seed: int = SEED,
+    head_share: float = HEAD_SHARE,
 ) -> DataFrame:
     """Every document with ``n_words``, ``n_features``, ``weight``, ``score`` and ``rank``.
 
@@ -240,7 +240,7 @@ def resample(
     all buckets count alike there.
     """
     byte_bound(docs.sparkSession)
-    known = head(docs, buckets)
+    known = head(docs, buckets, head_share)
     features = staged(featured(docs, known, ["doc_id"]), "resampling-features")
     gain = gains(bucket_totals(features, buckets), bucket_totals(featured(target, known, []), buckets), buckets)
     return ranked(weighted(features, gain, seed), percent, least_words)

@@ -158,15 +158,13 @@ def resampling_rows():
     return rows + [(70, None), (71, ""), (72, " ?! "), (None, sentence(5, 40)), (73, sentence(8, 20_000)), rows[30], rows[30]]
 
 
-@pytest.mark.parametrize("words, pairs", [(50_000, 100_000), (7, 9), (0, 0)])
-def test_resampling(documents, monkeypatch, words, pairs):
-    """The same rows with a large head, a small one and none."""
-    monkeypatch.setattr(importance_resampling, "HEAD_WORDS", words)
-    monkeypatch.setattr(importance_resampling, "HEAD_PAIRS", pairs)
+@pytest.mark.parametrize("share", [1e-5, 0.01, 2.0])
+def test_resampling(documents, share):
+    """The same rows with all features in the head, with some, and with none."""
     rows = resampling_rows()
     target = [(1, sentence(3, 200)), (2, None), (3, "")]
     docs, texts = documents(*rows, more=CLASHING), documents(*target, more=CLASHING)
-    found = importance_resampling.resample(docs, texts)
+    found = importance_resampling.resample(docs, texts, head_share=share)
     got = Counter((r["doc_id"], r["n_features"], r["weight"], r["score"], r["rank"]) for r in found.collect())
     assert got == resampled(rows, [t for _, t in target])
 
