@@ -188,10 +188,12 @@ def disclosing_terms(
 def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """Where the terms occur, with the ``mark`` that takes their place."""
     surfaces = _keyed(docs).select("key", F.explode(F.array_distinct(_all(F.col("whole"), TERM))).alias("surface"))
-    held = (
+    # Written, so that its size is known: texts only move to meet it where it is large.
+    held = staged(
         surfaces.withColumn("term", F.lower("surface")).join(terms, "term")
         .groupBy(F.col("key").alias("held_key"))
-        .agg(F.array_join(F.array_sort(F.collect_set("surface")), "|").alias("any"))
+        .agg(F.array_join(F.array_sort(F.collect_set("surface")), "|").alias("any")),
+        "sanitisation-held",
     )
     pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.col("any"), F.lit(r")(?!\p{L})"))
     found = _keyed(docs).join(held, F.col("key") == F.col("held_key")).select(
@@ -226,16 +228,20 @@ def document_spans(docs: DataFrame, support: int = SUPPORT, disclosure: float =
             fixed, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
         return F.concat(fixed, free)
 
-    return every.groupBy("key").agg(apart(F.sort_array(F.collect_list(span))).alias("spans"))
+    return staged(
+        every.groupBy("key").agg(apart(F.sort_array(F.collect_list(span))).alias("spans")), "sanitisation-spans"
+    )
 
 
 def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``row``, the document, with its spans, an empty array if none."""
-    whole = _keyed(docs, F.struct("*").alias("row"))
+    """``row``, the document, with its spans, an empty array if none. The row is put together
+    after the join, so that columns nobody asks for, the text among them, do not move."""
+    numbered = [F.col(f"`{c}`").alias(f"doc_{i}") for i, c in enumerate(docs.columns)]
+    row = F.struct(*[F.col(f"doc_{i}").alias(c) for i, c in enumerate(docs.columns)])
     none = F.array().cast(spans.schema["spans"].dataType)
-    return whole.join(spans.withColumnRenamed("key", "span_key"), F.col("key") == F.col("span_key"), "left").select(
-        "row", "whole", F.coalesce("spans", none).alias("spans")
-    )
+    same = F.col("key") == F.col("span_key")
+    found = _keyed(docs, *numbered).join(spans.withColumnRenamed("key", "span_key"), same, "left")
+    return found.select(row.alias("row"), "whole", F.coalesce("spans", none).alias("spans"))
 
 
 def private(docs: DataFrame, **options) -> DataFrame:
