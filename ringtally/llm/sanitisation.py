@@ -233,26 +233,25 @@ def document_spans(docs: DataFrame, support: int = SUPPORT, disclosure: float =
     )
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``row``, the document, with its spans, an empty array if none. The row is put together
-    after the join, so that columns nobody asks for, the text among them, do not move."""
-    numbered = [F.col(f"`{c}`").alias(f"doc_{i}") for i, c in enumerate(docs.columns)]
-    row = F.struct(*[F.col(f"doc_{i}").alias(c) for i, c in enumerate(docs.columns)])
+def _with_spans(docs: DataFrame, spans: DataFrame, columns: list[str]) -> DataFrame:
+    """``row``, the named columns of every document, with ``whole``, its text, and its spans, an
+    empty array if none."""
+    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
     none = F.array().cast(spans.schema["spans"].dataType)
     same = F.col("key") == F.col("span_key")
-    found = _keyed(docs, *numbered).join(spans.withColumnRenamed("key", "span_key"), same, "left")
-    return found.select(row.alias("row"), "whole", F.coalesce("spans", none).alias("spans"))
+    found = _keyed(docs, row).join(spans.withColumnRenamed("key", "span_key"), same, "left")
+    return found.select("row", "whole", F.coalesce("spans", none).alias("spans"))
 
 
-def private(docs: DataFrame, **options) -> DataFrame:
-    """Every document as ``row``, with ``n_email``, ``n_ip``, ``n_card``, ``n_phone``, ``n_term``,
+def private(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), **options) -> DataFrame:
+    """For every document ``row``, its columns ``keep``, with ``n_email``, ``n_ip``, ``n_card``, ``n_phone``, ``n_term``,
     ``base`` (kind:start:end of all base spans, by kind and start) and ``spans`` (of all spans).
 
     ``docs`` has ``doc_id`` and ``text``. A NULL text is empty and has no spans. Rows that repeat
     id and text have the same spans; copies under other ids are documents of their own, but one
     text as evidence. Without documents the result is empty.
     """
-    found = _with_spans(docs, document_spans(docs, **options))
+    found = _with_spans(docs, document_spans(docs, **options), list(keep))
     names = F.array(*[F.lit(k) for k in KINDS])
 
     def listed(spans):
@@ -274,7 +273,7 @@ def private(docs: DataFrame, **options) -> DataFrame:
 def sanitised(docs: DataFrame, **options) -> DataFrame:
     """The documents, in their columns, with marks in ``text`` in place of spans. Spans that
     overlap are replaced together, by the mark of the first."""
-    found = _with_spans(docs, document_spans(docs, **options))
+    found = _with_spans(docs, document_spans(docs, **options), docs.columns)
     first = F.array_sort(F.transform("spans", lambda s: F.struct(
         s["byte_start"].alias("a"), (-s["byte_end"]).alias("z"), s["mark"].alias("mark"))))
 
