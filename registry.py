@@ -19,11 +19,12 @@ from ringtally.operators import events as ev
 from ringtally.operators import metrics as mt
 from ringtally.operators import rollups as ru
 from ringtally.operators.conform import conform
-from ringtally.plans import quality, reports
+from ringtally.plans import quality, reports, windows
 from ringtally.schema import Limits
-from ringtally.session import prepare
+from ringtally.session import prepare, scratch_path
 from ringtally.sources.sample import usage_events, usage_stream, wire_events, with_faults
-from ringtally.streaming.jobs import decoded_events, drain
+from ringtally.sources.store import Store
+from ringtally.streaming.jobs import await_all, decoded_events, drain, start_streams
 
 
 NULLABLE_NUMBERS = (
@@ -266,6 +267,65 @@ def stream_cumulative(spark, folder):
     return table_rows(rows, "real_time_metrics").drop("window_start", "window_end")
 
 
+def _archived(spark, folder, *metrics) -> Store:
+    """Everything on the wire, delivered twice: the second time to a new checkpoint."""
+    at = scratch_path(spark, "store")
+    store = Store(spark, f"{at}/tables").create()
+    for name in ("first", "again"):
+        stream = with_faults(usage_stream(spark, folder))
+        names = ("archive", *metrics)
+        await_all(start_streams(stream, store, f"{at}/{name}", names, continuous=False, from_archive=True))
+    return store
+
+
+def stored_once(spark, folder):
+    return table_rows(_archived(spark, folder).read("raw_events"), "raw_events")
+
+
+def archive_windows(spark, folder):
+    store = _archived(spark, folder, "metrics_5min", "metrics_10min")
+    return table_rows(windows.stored_metrics(store), "real_time_metrics")
+
+
+def stored_totals(spark, folder):
+    """Without the time of computation."""
+    rows = windows.totals_so_far(_archived(spark, folder))
+    return table_rows(rows, "real_time_metrics").drop("window_start", "window_end")
+
+
+def two_checkpoints(spark, folder):
+    """Windows that two queries have counted in part."""
+    at = scratch_path(spark, "store")
+    store = Store(spark, f"{at}/tables").create()
+    for half in (0, 1):
+        stream = usage_stream(spark, folder).filter(F.col("event_id").cast("long") % 2 == half)
+        await_all(start_streams(stream, store, f"{at}/{half}", ("metrics_5min",), continuous=False))
+    return table_rows(windows.stored_metrics(store), "real_time_metrics")
+
+
+def early_alerts(spark, folder):
+    """Subscribers with more than one event in 5 minutes, open windows included, sent twice."""
+    at = scratch_path(spark, "store")
+    store = Store(spark, f"{at}/tables").create()
+    options = dict(limits=Limits(events_per_window=1), burst_slide=None, early_alerts=True, continuous=False)
+    for name in ("first", "again"):
+        stream = usage_stream(spark, folder)
+        await_all(start_streams(stream, store, f"{at}/{name}", ("high_frequency",), **options))
+    return store.read("anomalies").select("event_id", "msisdn", "anomaly_type", "anomaly_reason", "severity")
+
+
+def region_users_sketch(spark, folder):
+    """Users by region from hourly sketches, and whether they are within 5 percent."""
+    events = usage_events(spark, folder)
+    exact = events.groupBy("region").agg(F.count_distinct("msisdn").alias("exact"))
+    found = windows.users_by(windows.hourly_users(events), "region")
+    off = F.abs(F.col("unique_users") - F.col("exact"))
+    same = found["region"].eqNullSafe(exact["region"])
+    return found.join(exact, same).select(
+        found["region"], "event_count", (off <= F.col("exact") * 0.05).alias("close")
+    )
+
+
 REGISTERED = {
     # window metrics
     "metrics_5min": _metrics(mt.event_type_metrics),
@@ -330,6 +390,12 @@ REGISTERED = {
     ),
     "stream_cumulative": stream_cumulative,
     "stream_anomalies": _stream(lambda e: an.find_anomalies(e, detected_at=F.col("timestamp"))),
+    "stored_once": stored_once,
+    "archive_windows": archive_windows,
+    "stored_totals": stored_totals,
+    "two_checkpoints": two_checkpoints,
+    "early_alerts": early_alerts,
+    "region_users_sketch": region_users_sketch,
     "stream_dedup": _stream(lambda e: ev.drop_repeats(ev.validate(with_faults(e)))),
 }
 

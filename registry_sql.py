@@ -84,20 +84,27 @@ NO_AVERAGES = "CAST(NULL AS DOUBLE) AS avg_duration_seconds, CAST(NULL AS DOUBLE
 
 
 def window_metrics(
-    minutes: int, tag: str, keys: tuple[str, ...], averages: str, having: str = "", slide: int = 0
+    minutes: int,
+    tag: str,
+    keys: tuple[str, ...],
+    averages: str,
+    having: str = "",
+    slide: int = 0,
+    rows: str = "usage",
+    tables: str = USAGE,
 ) -> str:
     region = "region" if "region" in keys else "CAST(NULL AS VARCHAR) AS region"
     subtype = "event_subtype" if "event_subtype" in keys else "CAST(NULL AS VARCHAR) AS event_subtype"
-    source = "(SELECT *, 0 AS shift FROM usage)"
+    source = f"(SELECT *, 0 AS shift FROM {rows})"
     start = f"time_bucket(INTERVAL '{minutes} minutes', event_time)"
     if slide:
         # Each event lies in size/slide windows, which start 0, 1, .. slides before its pane.
-        source = f"(SELECT *, unnest(range({minutes // slide})) AS shift FROM usage)"
+        source = f"(SELECT *, unnest(range({minutes // slide})) AS shift FROM {rows})"
         start = (
             f"(time_bucket(INTERVAL '{slide} minutes', event_time)"
             f" - shift * INTERVAL '{slide} minutes')"
         )
-    return f"""WITH {USAGE}
+    return f"""WITH {tables}
 SELECT {start} AS window_start, {start} + INTERVAL '{minutes} minutes' AS window_end,
   '{tag}' AS metric_type, {region}, event_type, {subtype}, {TOTALS}, {averages}
 FROM {source} GROUP BY {start}, {", ".join(keys)} {having}"""
@@ -230,6 +237,19 @@ def json_text(nulls: bool) -> str:
 
 NO_JSON = "event_id_missing,msisdn_missing,event_type_unknown,timestamp_missing,field_unreadable"
 
+# What the raw table takes of the events on the wire, each once.
+ONCE = f"{WIRE},\nonce AS (SELECT DISTINCT * FROM wire WHERE {BROKEN} = '')"
+
+# Events in windows that were closed for the query which read their half.
+HALVES = f"""{USAGE},
+halves AS (
+  SELECT *, CAST(event_id AS BIGINT) % 2 AS half,
+    max(event_time) OVER (PARTITION BY CAST(event_id AS BIGINT) % 2) - INTERVAL '1 minute' AS mark
+  FROM usage),
+counted AS (
+  SELECT * FROM halves
+  WHERE time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' <= mark)"""
+
 TIME_TEXTS = f"""WITH {USAGE},
 texts AS (
   SELECT event_id, CASE WHEN CAST(event_id AS BIGINT) % 11 = 0 THEN 'soon'
@@ -493,5 +513,25 @@ SELECT msisdn || '@' || strftime(start, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_id, ms
         FROM usage GROUP BY region, event_type"""
     ),
     "stream_anomalies": report("SELECT * FROM anomalies_found", ANOMALIES),
+    "stored_once": f"WITH {ONCE} SELECT {EVENT_COLUMNS} FROM once",
+    "archive_windows": f"""SELECT * FROM (
+      {window_metrics(5, "event_type_5min", TYPE_KEYS, AVERAGES, rows="once", tables=ONCE)})
+    UNION ALL SELECT * FROM (
+      {window_metrics(10, "regional_10min", REGION_KEYS, NO_AVERAGES, rows="once", tables=ONCE)})""",
+    "stored_totals": f"""WITH {ONCE}
+SELECT 'batch_metrics' AS metric_type, region, event_type, CAST(NULL AS VARCHAR) AS event_subtype,
+  {TOTALS}, {AVERAGES} FROM once GROUP BY region, event_type""",
+    "two_checkpoints": window_metrics(
+        5, "event_type_5min", TYPE_KEYS, AVERAGES, rows="counted", tables=HALVES
+    ),
+    "early_alerts": report(
+        """SELECT msisdn || '@' || strftime(start, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_id, msisdn,
+          'high_frequency' AS anomaly_type, n || ' events in 5 minutes' AS anomaly_reason, 'high' AS severity
+        FROM (SELECT time_bucket(INTERVAL '5 minutes', event_time) AS start, msisdn, count(*) AS n
+              FROM usage GROUP BY ALL) WHERE n > 1"""
+    ),
+    "region_users_sketch": report(
+        "SELECT region, count(*) AS event_count, TRUE AS close FROM usage GROUP BY region"
+    ),
     "stream_dedup": f"WITH {WIRE} SELECT DISTINCT {EVENT_COLUMNS} FROM valid",
 }

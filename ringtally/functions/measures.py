@@ -19,14 +19,6 @@ def sum_where(value: Column, condition: Column) -> Column:
     return F.sum(F.when(condition, value))
 
 
-def avg_where(value: Column, condition: Column) -> Column:
-    return F.avg(F.when(condition, value))
-
-
-def max_where(value: Column, condition: Column) -> Column:
-    return F.max(F.when(condition, value))
-
-
 def or_zero(total: Column) -> Column:
     """SUM(COALESCE(x, 0)) of a non-empty group, from SUM(x)."""
     return F.coalesce(total, F.lit(0))
@@ -56,3 +48,21 @@ def merged_partials() -> list[Column]:
     added = ["n_events", "n_duration", "sum_duration", "n_data", "sum_data", "n_amount", "sum_amount"]
     largest = ["max_duration", "max_data"]
     return [F.sum(c).alias(c) for c in added] + [F.max(c).alias(c) for c in largest]
+
+
+# Sketches of distinct subscribers: 4,096 registers, a standard error of about 1.6 percent,
+# almost exact for small sets. They can be merged over any hours, regions and types.
+SKETCH_BITS = 12
+
+
+def user_sketch(user: Column) -> Column:
+    return F.hll_sketch_agg(user, F.lit(SKETCH_BITS))
+
+
+def merged_users(sketch: Column) -> Column:
+    """NULL where no group has a sketch."""
+    return F.when(F.count(sketch) > 0, F.hll_union_agg(sketch))
+
+
+def user_estimate(sketch: Column) -> Column:
+    return F.coalesce(F.hll_sketch_estimate(sketch), F.lit(0).cast("long"))

@@ -196,13 +196,28 @@ def drop_repeats(events: DataFrame, watermark: str = WATERMARK, spread: int = 16
             )
         once = marked.dropDuplicatesWithinWatermark(["event_id"])
         return once.unionByName(timed.filter(F.col("event_id").isNull()))
-    named = events.filter(F.col("event_id").isNotNull())
+    # Hardly any id repeats: only ids are counted, and only the rows of repeated ones sorted.
+    repeated = repeated_ids(events)
     rest = ["timestamp"] + [c for c in events.columns if c not in ("event_id", "timestamp")]
-    first = named.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("first"))
+    several = events.join(repeated, "event_id", "left_semi")
+    first = several.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("first"))
     once = first.select(
         *[F.col("event_id") if c == "event_id" else F.col(f"first.{c}") for c in events.columns]
     )
-    return once.unionByName(events.filter(F.col("event_id").isNull()))
+    return once.unionByName(events.join(repeated, "event_id", "left_anti").select(*events.columns))
+
+
+def repeated_ids(events: DataFrame) -> DataFrame:
+    """Ids that several rows have; no other column is read."""
+    named = events.filter(F.col("event_id").isNotNull())
+    return named.groupBy("event_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("event_id")
+
+
+def new_events(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows of ``batch`` whose ``event_id`` is not among ``stored``. The stored side, which may
+    be long, is reduced to the ids of the batch before it is compared."""
+    known = stored.select("event_id").join(batch.select("event_id"), "event_id", "left_semi")
+    return batch.join(known.distinct(), "event_id", "left_anti").select(*batch.columns)
 
 
 def mask_subscribers(events: DataFrame) -> DataFrame:

@@ -10,7 +10,16 @@ from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ringtally.functions.columns import mb_to_gb
-from ringtally.functions.measures import count_where, mean, merged_partials, or_zero, usage_partials
+from ringtally.functions.measures import (
+    count_where,
+    mean,
+    merged_partials,
+    merged_users,
+    or_zero,
+    usage_partials,
+    user_estimate,
+    user_sketch,
+)
 from ringtally.schema import WATERMARK
 
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
@@ -195,3 +204,123 @@ def cumulative_metrics(
     partials = events.groupBy("event_type", "region").agg(*usage_partials())
     stamped = partials.withColumns({"window_start": stamp, "window_end": stamp})
     return _metric_rows(stamped, tag, **_totals(), **_averages())
+
+
+# Window states: what the three metrics above are made of, kept as counts and sums. States of
+# one window that several queries or loads have stored add up; averages are formed at reading.
+
+STATE_KEYS = ("region", "event_type", "event_subtype")
+PARTIALS = (
+    "n_events", "n_duration", "sum_duration", "max_duration", "n_data", "sum_data", "max_data",
+    "n_amount", "sum_amount",
+)
+
+
+def _states(partials: DataFrame, tag: str, form: str) -> DataFrame:
+    def column(name: str, kind: str) -> Column:
+        return F.col(name) if name in partials.columns else _null(kind)
+
+    return partials.select(
+        *[column(name, "timestamp").alias(name) for name in ("window_start", "window_end")],
+        F.lit(tag).alias("metric_type"),
+        F.lit(form).alias("form"),
+        *[column(name, "string").alias(name) for name in STATE_KEYS],
+        *PARTIALS,
+        column("users", "binary").alias("users"),
+    )
+
+
+def event_type_states(
+    events: DataFrame,
+    size: str = "5 minutes",
+    slide: str | None = None,
+    watermark: str | None = WATERMARK,
+    tag: str = "event_type_5min",
+) -> DataFrame:
+    keys = ["event_type", "event_subtype"]
+    return _states(window_partials(events, size, keys, slide, watermark), tag, "usage")
+
+
+def regional_states(
+    events: DataFrame,
+    size: str = "10 minutes",
+    slide: str | None = None,
+    watermark: str | None = WATERMARK,
+    tag: str = "regional_10min",
+) -> DataFrame:
+    keys = ["region", "event_type"]
+    return _states(window_partials(events, size, keys, slide, watermark), tag, "totals")
+
+
+def conditional_states(
+    events: DataFrame,
+    size: str = "5 minutes",
+    slide: str | None = None,
+    watermark: str | None = WATERMARK,
+    tag: str = "5min",
+) -> DataFrame:
+    keys = ["region", "event_type"]
+    return _states(window_partials(events, size, keys, slide, watermark), tag, "conditional")
+
+
+def cumulative_states(events: DataFrame, tag: str = "batch_metrics") -> DataFrame:
+    """Totals so far; without a window."""
+    partials = events.groupBy("event_type", "region").agg(*usage_partials())
+    return _states(partials, tag, "usage")
+
+
+def user_states(
+    events: DataFrame,
+    size: str = "5 minutes",
+    watermark: str | None = WATERMARK,
+    tag: str = "region_users_5min",
+) -> DataFrame:
+    """Events and a sketch of the subscribers by region. The sketch is a few kilobytes however
+    many they are, and it is combined before the shuffle."""
+    groups = by_window(_watermarked(events, watermark), size, ["region"])
+    counted = groups.agg(*usage_partials(), user_sketch(F.col("msisdn")).alias("users"))
+    return _states(with_bounds(counted, size), tag, "totals")
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """One state per window and key: the last one of each query, added up."""
+    keys = ["window_start", "window_end", "metric_type", "form", *STATE_KEYS]
+    values = [*PARTIALS, "users", "created_at"]
+    last = states.groupBy(*keys, "query_id").agg(
+        F.max_by(F.struct(*values), F.col("batch_id")).alias("last")
+    )
+    return (
+        last.select(*keys, "last.*")
+        .groupBy(*keys)
+        .agg(*merged_partials(), merged_users(F.col("users")).alias("users"), F.max("created_at").alias("created_at"))
+    )
+
+
+def metrics_of_states(states: DataFrame) -> DataFrame:
+    """Stored states in the layout of ``real_time_metrics``, and ``unique_users`` where a metric
+    has sketches of them. Totals so far are stamped with the time they were stored."""
+    merged = merged_states(states)
+    kind, form = F.col("event_type"), F.col("form")
+    is_usage, is_conditional = form == "usage", form == "conditional"
+
+    def only(of_kind: str, total: str) -> Column:
+        return F.when(kind == of_kind, or_zero(F.col(total))).otherwise(0)
+
+    data = F.when(is_conditional, only("data_session", "sum_data")).otherwise(or_zero(F.col("sum_data")))
+    amount = F.when(is_conditional, only("balance_recharge", "sum_amount")).otherwise(or_zero(F.col("sum_amount")))
+    avg_data = F.when(is_usage, mean(F.col("sum_data"), F.col("n_data"))).when(
+        is_conditional, mean(data, F.col("n_events"))
+    )
+    return merged.select(
+        *[F.coalesce(name, F.col("created_at")).alias(name) for name in ("window_start", "window_end")],
+        "metric_type",
+        *STATE_KEYS,
+        F.col("n_events").alias("count_events"),
+        F.when(~is_conditional, or_zero(F.col("sum_duration"))).alias("total_duration_seconds"),
+        mb_to_gb(data).alias("total_data_gb"),
+        amount.alias("total_amount"),
+        F.when(is_usage, mean(F.col("sum_duration"), F.col("n_duration"))).alias("avg_duration_seconds"),
+        avg_data.alias("avg_data_mb"),
+        F.when(F.col("users").isNotNull(), user_estimate(F.col("users"))).alias("unique_users"),
+        "created_at",
+    )

@@ -41,6 +41,12 @@ def hourly_partials(events: DataFrame) -> DataFrame:
     return hours.withColumnRenamed("window_start", "hour_timestamp")
 
 
+def daily_partials(events: DataFrame) -> DataFrame:
+    """Counts and sums by day, region and type, to be added up over loads; events without a
+    time are below no day."""
+    return events.groupBy(F.to_date("timestamp").alias("event_date"), *KEYS).agg(*usage_partials())
+
+
 def hourly_stats(partials: DataFrame) -> DataFrame:
     """From hourly partials: zero where nothing was measured, except the average."""
     return partials.select(

@@ -13,6 +13,7 @@ from ringtally.operators.rollups import between_days, daily_stats, hourly_partia
 from ringtally.operators.rollups import daily_stats_extended
 from ringtally.plans.quality import require_quality, require_results
 from ringtally.plans.reports import Tables, batch_summary
+from ringtally.plans.windows import compact_day, load_hourly_users, stored_metrics
 from ringtally.sources.store import Store, _days
 from ringtally.streaming.runlog import log_run
 
@@ -23,7 +24,7 @@ def stored_tables(store: Store) -> Tables:
         anomalies=store.read("anomalies"),
         daily_stats=store.read("daily_stats"),
         hourly_stats=store.read("hourly_stats"),
-        real_time_metrics=store.read("real_time_metrics"),
+        real_time_metrics=stored_metrics(store),
     )
 
 
@@ -53,6 +54,7 @@ def run_rollups(
         if extended:
             rows = daily_stats_extended(events, partials)
             store.load("daily_stats_extended", rows, layout="repartition", tasks=tasks)
+            load_hourly_users(store, first, last)
     finally:
         partials.unpersist()
     present = store.days("raw_events") if remove_empty else []
@@ -60,7 +62,7 @@ def run_rollups(
         return
     # A day whose events are gone has no rows to replace its old rollup with.
     gone = [d for d in _days(first, last) if d > present[0] and d not in set(present)]
-    for table in ("daily_stats", "hourly_stats", "daily_stats_extended"):
+    for table in ("daily_stats", "hourly_stats", "daily_stats_extended", "hourly_users"):
         store.drop_days(table, [d for d in gone if d in set(store.days(table))])
 
 
@@ -88,8 +90,7 @@ def run_daily(
         require_results(tables)
         summary = batch_summary(tables).first().asDict()
         if compact:
-            loaded = ("raw_events", "anomalies", "quarantined_events")
-            summary["compacted"] = [t for t in loaded if store.compact(t, day)]
+            summary["compacted"] = compact_day(store, day)
         if keep_days is not None:
             limits = keep_days if isinstance(keep_days, dict) else {"raw_events": keep_days}
             expired = {t: store.expire(t, day, n) for t, n in limits.items()}

@@ -131,6 +131,68 @@ TABLES = {
             "load_id": ("string", "load_id"),
         },
     ),
+    # What each streaming query counted and summed per window: parts that can be added up. A
+    # window may have states of several queries (one per checkpoint); the last one of each counts.
+    "window_states": Table(
+        columns={
+            "window_start": "timestamp",
+            "window_end": "timestamp",
+            "metric_type": "string",
+            "form": "string",
+            "region": "string",
+            "event_type": "string",
+            "event_subtype": "string",
+            "n_events": "bigint",
+            "n_duration": "bigint",
+            "sum_duration": "bigint",
+            "max_duration": "int",
+            "n_data": "bigint",
+            "sum_data": "decimal(38,2)",
+            "max_data": "decimal(18,2)",
+            "n_amount": "bigint",
+            "sum_amount": "decimal(38,2)",
+            "users": "binary",
+            "query_id": "string",
+            "batch_id": "bigint",
+            "created_at": "timestamp",
+        },
+        partitions={
+            "window_date": ("date", "to_date(window_start)"),
+            "metric_type": ("string", "metric_type"),
+            "load_id": ("string", "load_id"),
+        },
+    ),
+    # Sums over the events that each load added to the raw table, by their day.
+    "usage_totals": Table(
+        columns={
+            "event_date": "date",
+            "region": "string",
+            "event_type": "string",
+            "n_events": "bigint",
+            "n_duration": "bigint",
+            "sum_duration": "bigint",
+            "max_duration": "int",
+            "n_data": "bigint",
+            "sum_data": "decimal(38,2)",
+            "max_data": "decimal(18,2)",
+            "n_amount": "bigint",
+            "sum_amount": "decimal(38,2)",
+            "created_at": "timestamp",
+        },
+        partitions={"event_date": ("date", "event_date"), "load_id": ("string", "load_id")},
+    ),
+    # Subscribers as sketches: users of any range, region or type without the events.
+    "hourly_users": Table(
+        columns={
+            "hour_timestamp": "timestamp",
+            "region": "string",
+            "event_type": "string",
+            "n_events": "bigint",
+            "users": "binary",
+            "created_at": "timestamp",
+        },
+        partitions={"date": ("date", "to_date(hour_timestamp)")},
+    ),
     # Events the raw table cannot take, with the reasons.
     "quarantined_events": Table(
         columns={

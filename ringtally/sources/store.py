@@ -6,6 +6,7 @@ retried micro-batch, a rerun of a day - leaves the same table as the first time.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date as Date
 from datetime import timedelta
 
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from ringtally.operators.conform import conform
 from ringtally.schema import TABLES
 
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"  # Spark's name for a partition without a value
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
@@ -49,21 +52,25 @@ class Store:
 
     def read_days(self, table: str, first: Date, last: Date) -> DataFrame:
         """Only the folders of these days are listed and read, however long the history."""
+        return self.read_parts(table, _days(first, last))
+
+    def read_parts(self, table: str, days: list[Date | None]) -> DataFrame:
+        """Only the folders of these days; None is the folder of rows without a day."""
         day = self._day_column(table)
         present = [
-            f"{self.path(table)}/{day}={d}" for d in _days(first, last) if self.has_day(table, d)
+            f"{self.path(table)}/{day}={d or NO_DAY}" for d in days if self.has_day(table, d)
         ]
         if not present:
-            return self.read(table).filter(F.col(day).between(F.lit(first), F.lit(last)))
+            return self.spark.createDataFrame([], TABLES[table].schema)
         return (
             self.spark.read.schema(TABLES[table].schema)
             .option("basePath", self.path(table))
             .parquet(*present)
         )
 
-    def has_day(self, table: str, day: Date) -> bool:
+    def has_day(self, table: str, day: Date | None) -> bool:
         column = self._day_column(table)
-        fs, where = self._files(f"{self.path(table)}/{column}={day}")
+        fs, where = self._files(f"{self.path(table)}/{column}={day or NO_DAY}")
         return fs.exists(where)
 
     def load(
@@ -115,14 +122,25 @@ class Store:
             fs.delete(where, True)
         return days
 
-    def compact(self, table: str, day: Date) -> bool:
+    def compact(
+        self,
+        table: str,
+        day: Date,
+        merge: Callable[[DataFrame], DataFrame] | None = None,
+        by_subscriber: bool = False,
+    ) -> bool:
         """Rewrite a closed day of many loads as one load of evenly sized files; returns whether
-        there was something to do. The new files are complete before two renames swap the
-        folders, and a swap that was cut off is finished by the next call. Between the renames
-        the day is absent, so run it where no report reads the day. A load that is tried again
-        afterwards is added anew: compact a day only when its streams are past it."""
+        there was something to do. ``merge`` combines the rows of several loads, for tables
+        whose rows add up. ``by_subscriber`` sorts the day into ranges of ``msisdn``, with bloom
+        filters on it and on ``event_id``, so that one subscriber or event is read from few row
+        groups.
+
+        The new files are complete before two renames swap the folders, and a swap that was cut
+        off is finished by the next call. Between the renames the day is absent, so run it where
+        no report reads the day, and only when its streams are past it."""
         column = self._day_column(table)
-        if "load_id" not in TABLES[table].partitions:
+        spec = TABLES[table]
+        if "load_id" not in spec.partitions:
             raise ValueError(f"{table} is not stored by load")
         fs, folder = self._files(f"{self.path(table)}/{column}={day}")
         _, old = self._files(f"{self.path(table)}/_replaced/{column}={day}")
@@ -131,11 +149,21 @@ class Store:
             fs.rename(old, folder)
         if not fs.exists(folder):
             return False
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        if sum(name.startswith("load_id=") for name in names) < 2:
+        rows = self.read_days(table, day, day)
+        loads = rows.select("load_id").distinct().limit(2).collect()
+        if not loads or (len(loads) == 1 and loads[0].load_id == "compacted"):
             return False
-        rows = self.read_days(table, day, day).drop(column).withColumn("load_id", F.lit("compacted"))
-        rows.hint("rebalance").write.mode("overwrite").partitionBy("load_id").parquet(fresh.toString())
+        inner = [name for name in spec.partitions if name != column]
+        rows = (merge(rows) if merge else rows).withColumn("load_id", F.lit("compacted"))
+        rows = rows.select(*[n for n in [*spec.columns, "load_id"] if n != column])
+        if by_subscriber:
+            rows = rows.repartitionByRange("msisdn", "timestamp").sortWithinPartitions("msisdn", "timestamp")
+        else:
+            rows = rows.hint("rebalance")
+        writer = rows.write.mode("overwrite").partitionBy(*inner)
+        for name in ("msisdn", "event_id") if by_subscriber else ():
+            writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+        writer.parquet(fresh.toString())
         fs.delete(old, True)
         fs.mkdirs(old.getParent())
         for source, target in ((folder, old), (fresh, folder)):
@@ -147,8 +175,25 @@ class Store:
     def expire(self, table: str, as_of: Date, keep_days: int) -> list[Date]:
         """Drop the days before ``as_of`` minus ``keep_days``; returns them."""
         limit = as_of - timedelta(days=keep_days)
+        self._expire_undated(table, limit)
         return self.drop_days(table, [d for d in self.days(table) if d < limit])
 
+    def _expire_undated(self, table: str, limit: Date) -> None:
+        """Rows below no day go with their load, once all of it was stored before ``limit``."""
+        spec = TABLES[table]
+        if not {"load_id", "created_at"} <= {*spec.partitions, *spec.columns} or not self.has_day(table, None):
+            return
+        rows = self.read_parts(table, [None])
+        old = rows.groupBy("load_id").agg(F.max("created_at").alias("last")).filter(
+            F.col("last") < F.lit(limit).cast("timestamp")
+        )
+        inner = [name for name in spec.partitions if name not in (self._day_column(table), "load_id")]
+        folders = rows.join(old, "load_id", "left_semi").select(*inner, "load_id").distinct().collect()
+        for r in folders:
+            parts = "".join(f"/{name}={r[name]}" for name in (*inner, "load_id"))
+            fs, where = self._files(f"{self.path(table)}/{self._day_column(table)}={NO_DAY}{parts}")
+            fs.delete(where, True)
+
 
 def _replace_partitions(rows: DataFrame, columns: list[str], path: str) -> None:
     (

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ringtally.operators.anomalies import frequency_anomalies, frequent_subscribers
 from ringtally.operators.events import (
     decode,
+    drop_repeats,
     exact_amounts,
     is_refused,
     split_by_rules,
@@ -16,16 +17,26 @@ from ringtally.operators.events import (
     with_event_time,
 )
 from ringtally.operators.metrics import (
-    conditional_metrics,
-    cumulative_metrics,
-    event_type_metrics,
-    regional_metrics,
+    conditional_states,
+    cumulative_states,
+    event_type_states,
+    metrics_of_states,
+    regional_states,
+    user_states,
 )
 from ringtally.schema import Limits
 from ringtally.session import scratch_path
 from ringtally.sources.store import Store
 from ringtally.streaming.runlog import REFUSED
-from ringtally.streaming.sinks import FORGIVEN, SEEN_AT, Sink, archive_sink, table_sink
+from ringtally.streaming.sinks import (
+    FORGIVEN,
+    SEEN_AT,
+    Sink,
+    alert_sink,
+    archive_sink,
+    state_sink,
+    table_sink,
+)
 
 # Time between micro-batches. Every archive batch makes files in its own folder, so a busy
 # source is better served by minutes.
@@ -33,10 +44,11 @@ ARCHIVE_EVERY = "5 seconds"
 METRICS_EVERY = "10 seconds"
 
 METRICS = {
-    "metrics_5min": (event_type_metrics, "append"),
-    "metrics_10min": (regional_metrics, "append"),
-    "metrics_conditional": (conditional_metrics, "append"),
-    "metrics_cumulative": (cumulative_metrics, "complete"),
+    "metrics_5min": (event_type_states, "append"),
+    "metrics_10min": (regional_states, "append"),
+    "metrics_conditional": (conditional_states, "append"),
+    "metrics_users": (user_states, "append"),
+    "metrics_cumulative": (cumulative_states, "complete"),
 }
 DEFAULT_STREAMS = ("archive", "metrics_5min", "metrics_10min")
 
@@ -77,37 +89,72 @@ def start_streams(
     metrics_every: str = METRICS_EVERY,
     metrics_sink: Sink | None = None,
     burst_slide: str | None = "1 minute",
+    from_archive: bool = False,
+    early_alerts: bool = False,
 ) -> list[StreamingQuery]:
     """Fan one stream of decoded events out. Each query reads the source on its own and has
     its own checkpoint; raw events and anomalies share one. Metrics count what the raw table
     takes; ``validated=False`` lets them count every row, malformed ones in a group of NULLs,
-    except amounts no table column can hold. ``metrics_sink`` sends windows elsewhere than to
-    the store, for instance to a database. ``high_frequency`` reports busy subscribers as
-    anomalies, in windows that slide by ``burst_slide``."""
+    except amounts no table column can hold. Metrics that append count an event once if its
+    repeats come within the watermark.
+
+    ``from_archive`` lets the archive compute the metrics of each load from the events it adds:
+    the source is fetched and decoded once for all of them, an event counts once however often
+    and however late it comes, and windows are visible while they are open. Late events are
+    never dropped then.
+
+    ``metrics_sink`` sends windows elsewhere than to the store, for instance to a database.
+    ``high_frequency`` reports busy subscribers as anomalies, in windows that slide by
+    ``burst_slide``; ``early_alerts`` reports them when the limit is crossed and not when the
+    window closes."""
     forgiven = FORGIVEN
     if not validated:
         forgiven = tuple(r for r in table_rules() if not r.endswith("_out_of_range"))
         forgiven += ("field_unreadable",)
+    within = tuple(n for n in streams if n in METRICS) if from_archive else ()
+    if within and ("archive" not in streams or metrics_sink or not validated):
+        raise ValueError("metrics of the archive need its stream, the store and valid events")
     queries = []
     for name in streams:
+        if name in within:
+            continue
         if name == "archive":
-            sink, mode, every = archive_sink(store, limits), "append", archive_every
+            # Totals so far are those the archive keeps by day.
+            states = tuple(METRICS[n][0] for n in within if METRICS[n][1] == "append")
+            sink, mode, every = archive_sink(store, limits, states), "append", archive_every
             failed = F.count(F.when(is_refused(events, FORGIVEN), 1)).alias("failed")
             frame = events.withColumn(SEEN_AT, F.current_timestamp()).observe(REFUSED, failed)
         elif name == "high_frequency":
             counted = split_by_rules(events, FORGIVEN)[0]
             busy = frequent_subscribers(counted, limits, slide=burst_slide)
-            frame, mode, every = frequency_anomalies(busy, limits), "append", metrics_every
-            sink = table_sink(store, "anomalies")
+            frame, every = frequency_anomalies(busy, limits), metrics_every
+            mode = "update" if early_alerts else "append"
+            sink = alert_sink(store) if early_alerts else table_sink(store, "anomalies")
         else:
             metric, mode = METRICS[name]
             counted = exact_amounts(split_by_rules(events, forgiven)[0])
-            frame, every = metric(counted), metrics_every
-            sink = metrics_sink or table_sink(store, "real_time_metrics", keyed=True)
+            if mode == "append":
+                frame = metric(drop_repeats(counted), watermark=None)
+            else:  # no other state may come before totals so far
+                frame = metric(counted)
+            every, sink = metrics_every, state_sink(store)
+            if metrics_sink:
+                sink = _finished(metrics_sink)
         queries.append(start(frame, sink, name, checkpoint, mode, every if continuous else None))
     return queries
 
 
+def _finished(sink: Sink) -> Sink:
+    """For sinks elsewhere: windows as metrics, not as states."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        now = F.current_timestamp()
+        rows = batch.withColumns({"query_id": F.lit(""), "batch_id": F.lit(batch_id), "created_at": now})
+        sink(metrics_of_states(rows), batch_id)
+
+    return write
+
+
 def await_all(queries: list[StreamingQuery], poll_seconds: float = 0.5) -> None:
     """Wait until every query has ended; if one fails, stop the others and raise its error.
     Other queries of the session are left alone."""

@@ -4,13 +4,23 @@ from its checkpoint, and the table replaces what the first try left behind."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringtally.operators.anomalies import find_anomalies
-from ringtally.operators.events import exact_amounts, original_text, split_by_rules, validate
+from ringtally.operators.events import (
+    drop_repeats,
+    exact_amounts,
+    new_events,
+    original_text,
+    split_by_rules,
+    validate,
+)
+from ringtally.operators.rollups import daily_partials
 from ringtally.schema import Limits
 from ringtally.sources import jdbc
 from ringtally.sources.store import Store
@@ -23,6 +33,9 @@ SEEN_AT = "seen_at"
 # What the archive takes all the same: events without a time, below no day.
 FORGIVEN = ("timestamp_missing",)
 
+# Beyond so many different hours in a batch, whole days are compared.
+MOST_HOURS = 48
+
 
 def load_id(batch: DataFrame, batch_id: int) -> str:
     """The same for every try of a batch; a new checkpoint has a new query id."""
@@ -44,23 +57,76 @@ def table_sink(store: Store, table: str, keyed: bool = False) -> Sink:
     return write
 
 
-def archive_sink(store: Store, limits: Limits = Limits()) -> Sink:
-    """Raw events, quarantine and anomalies from one read of the source. The batch (decoded,
-    not yet validated) is kept while the tables are written, so messages are fetched and
-    decoded once. Events without a readable time are archived too, below no day."""
+def state_sink(store: Store) -> Sink:
+    """Window states of a streaming query, kept beside those of other queries: a window that a
+    new checkpoint emits again in part adds to what is stored. States without a window (totals
+    so far) replace the ones their query stored before."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        piece = load_id(batch, batch_id)
+        query = piece.rpartition("-")[0]
+        rows = batch.withColumns({"query_id": F.lit(query), "batch_id": F.lit(batch_id)})
+        timed = F.col("window_start").isNotNull()
+        store.load("window_states", rows.filter(timed), piece, layout=None)
+        store.load("window_states", rows.filter(~timed), query, layout=None)
+
+    return write
+
+
+def stored_before(store: Store, table: str, batch: DataFrame, piece: str) -> DataFrame:
+    """What other loads have stored of the days and hours in ``batch``. The load's own rows do
+    not count: it may be tried again. Events keep their time when they are delivered again, so
+    only day folders of the batch are listed, and of their files only row groups of its hours
+    are read."""
+    present = set(store.days(table))
+    days = {r.day for r in batch.select(F.to_date("timestamp").alias("day")).distinct().collect()}
+    kept = [d for d in days if d is None or d in present]
+    rows = store.read_parts(table, kept).filter(F.col("load_id") != piece)
+    hour = F.date_trunc("hour", "timestamp").alias("hour")
+    hours = [r.hour for r in batch.select(hour).distinct().limit(MOST_HOURS + 1).collect()]
+    if len(hours) <= MOST_HOURS:
+        in_hours = F.col("timestamp").isNull() if None in hours else F.lit(False)
+        for start in filter(None, hours):
+            end = start + timedelta(hours=1)
+            in_hours = in_hours | ((F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") < F.lit(end)))
+        rows = rows.filter(in_hours)
+    return rows
+
+
+def archive_sink(
+    store: Store,
+    limits: Limits = Limits(),
+    states: tuple[Callable[[DataFrame], DataFrame], ...] = (),
+) -> Sink:
+    """Raw events, quarantine, anomalies and totals from one read of the source. The batch
+    (decoded, not yet validated) is kept while the tables are written, so messages are fetched
+    and decoded once. Events without a readable time are archived too, below no day.
+
+    An event is stored once: of repeats within the batch the earliest is taken, and events that
+    another load has stored are left out, whether they are delivered again in a later batch or
+    to a new checkpoint. Totals by day, and the window ``states`` of the given metrics, are those
+    of the events this load adds, so they stay right under repeats, late events and restarts."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        fresh = None
         try:
             if kept.isEmpty():
                 return
             piece = load_id(batch, batch_id)
             good, refused = split_by_rules(kept, FORGIVEN)
+            once = drop_repeats(good)
+            fresh = new_events(once, stored_before(store, "raw_events", good, piece))
+            fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
             seen_at = F.col(SEEN_AT) if SEEN_AT in kept.columns else None
             # Limits are tested on the values as they came: none is too large to be reported.
-            found = find_anomalies(validate(kept), limits, seen_at, with_event=True)
+            tested = fresh.unionByName(validate(refused.drop("broken_rules")))
+            found = find_anomalies(tested, limits, seen_at, with_event=True)
             found, _ = split_by_rules(found, table="anomalies")
-            store.load("raw_events", exact_amounts(good), piece, layout=None)
+            added = exact_amounts(fresh)
+            store.load("raw_events", added, piece, layout=None)
             refused = refused.withColumns(
                 {
                     "event_data": original_text(refused),
@@ -69,6 +135,36 @@ def archive_sink(store: Store, limits: Limits = Limits()) -> Sink:
             )
             store.load("quarantined_events", refused, piece, layout=None)
             store.load("anomalies", found, piece, layout=None)
+            store.load("usage_totals", daily_partials(added), piece, layout="repartition")
+            if states:
+                rows = reduce(DataFrame.unionByName, [state(added) for state in states])
+                rows = rows.withColumns({"query_id": F.lit(piece), "batch_id": F.lit(batch_id)})
+                store.load("window_states", rows, piece, layout="repartition")
+        finally:
+            kept.unpersist()
+            if fresh is not None:
+                fresh.unpersist()
+
+    return write
+
+
+def alert_sink(store: Store) -> Sink:
+    """Busy subscribers in update mode: a subscriber's window comes again with every batch that
+    adds to it, and is stored the first time. What is stored was detected on the day its window
+    began or later, so only those days are read."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            first = kept.agg(F.min(F.to_date(F.element_at(F.split("event_id", "@"), -1))).alias("day")).first()
+            if first.day is None:
+                return
+            piece = load_id(batch, batch_id)
+            days = [d for d in store.days("anomalies") if d >= first.day]
+            stored = store.read_parts("anomalies", days).filter(
+                (F.col("anomaly_type") == "high_frequency") & (F.col("load_id") != piece)
+            )
+            store.load("anomalies", new_events(kept, stored), piece, layout=None)
         finally:
             kept.unpersist()
 
