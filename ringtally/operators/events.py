@@ -30,6 +30,9 @@ MONEY = "decimal(18,2)"
 # Columns of decoded messages: the text as it came, and whether a part of it could not be read.
 MESSAGE, MISREAD = "message", "misread"
 
+# The window of an event, where repeats were removed within windows.
+OF_WINDOW = "of_window"
+
 
 def decode(messages: DataFrame, keep_text: bool = False) -> DataFrame:
     """Parse the JSON ``value`` column. Malformed text gives a row of NULLs. The broker's own
@@ -207,6 +210,24 @@ def drop_repeats(events: DataFrame, watermark: str = WATERMARK, spread: int = 16
     return once.unionByName(events.join(repeated, "event_id", "left_anti").select(*events.columns))
 
 
+def drop_repeats_in_windows(events: DataFrame, size: str, spread: int = 16) -> DataFrame:
+    """A stream (that carries a watermark) with one row per ``event_id`` and window of ``size``,
+    for metrics over such windows. Ids are kept until their window closes: repeats may come as
+    late as the window takes rows, and a late row is dropped with its window, not before. Each
+    dropped row counts in the query's progress. Adds the window, by which metrics group then;
+    rows without a time are in none. ``spread`` as in ``drop_repeats``."""
+    # A stream has one column of event time: from here on it is the window.
+    plain_time = (F.col("timestamp") + F.expr("INTERVAL 0 SECONDS")).alias("timestamp")
+    rest = [plain_time if c == "timestamp" else F.col(c) for c in events.columns]
+    timed = events.select(*rest, F.window("timestamp", size).alias(OF_WINDOW))
+    marked = timed.filter(F.col("event_id").isNotNull())
+    if spread > 1:
+        group = F.floor(F.rand(seed=17) * spread).cast("int")
+        marked = marked.withColumn("copy_group", group).dropDuplicates(["event_id", OF_WINDOW, "copy_group"])
+    once = marked.dropDuplicates(["event_id", OF_WINDOW]).select(*timed.columns)
+    return once.unionByName(timed.filter(F.col("event_id").isNull()))
+
+
 def repeated_ids(events: DataFrame) -> DataFrame:
     """Ids that several rows have; no other column is read."""
     named = events.filter(F.col("event_id").isNotNull())

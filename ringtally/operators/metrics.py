@@ -20,6 +20,7 @@ from ringtally.functions.measures import (
     user_estimate,
     user_sketch,
 )
+from ringtally.operators.events import OF_WINDOW
 from ringtally.schema import WATERMARK
 
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
@@ -52,6 +53,8 @@ def by_window(events: DataFrame, size: str, keys: list[str], slide: str | None =
     """Group by event-time window and key. A stream needs the whole window as the key, for
     the watermark to close it; a batch groups tumbling windows by their start alone, which
     makes a shorter key to hash and shuffle."""
+    if OF_WINDOW in events.columns:
+        return events.groupBy(F.col(OF_WINDOW).alias("window"), *keys)
     window = F.window("timestamp", size, slide)
     if slide is None and not events.isStreaming:
         return events.groupBy(window["start"].alias("window_start"), *keys)

@@ -193,6 +193,14 @@ TABLES = {
         },
         partitions={"date": ("date", "to_date(hour_timestamp)")},
     ),
+    # The newest event time an archive query had seen after its last batches.
+    "stream_clock": Table(
+        columns={"batch_id": "bigint", "newest": "timestamp", "created_at": "timestamp"},
+        partitions={
+            "created_date": ("date", "to_date(created_at)"),
+            "load_id": ("string", "load_id"),
+        },
+    ),
     # Events the raw table cannot take, with the reasons.
     "quarantined_events": Table(
         columns={

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ringtally.operators.anomalies import frequency_anomalies, frequent_subscribers
 from ringtally.operators.events import (
     decode,
-    drop_repeats,
+    drop_repeats_in_windows,
     exact_amounts,
     is_refused,
     split_by_rules,
@@ -24,7 +24,7 @@ from ringtally.operators.metrics import (
     regional_states,
     user_states,
 )
-from ringtally.schema import Limits
+from ringtally.schema import WATERMARK, Limits
 from ringtally.session import scratch_path
 from ringtally.sources.store import Store
 from ringtally.streaming.runlog import REFUSED
@@ -43,12 +43,13 @@ from ringtally.streaming.sinks import (
 ARCHIVE_EVERY = "5 seconds"
 METRICS_EVERY = "10 seconds"
 
+# What a metric query stores, its output mode, and the size of its windows.
 METRICS = {
-    "metrics_5min": (event_type_states, "append"),
-    "metrics_10min": (regional_states, "append"),
-    "metrics_conditional": (conditional_states, "append"),
-    "metrics_users": (user_states, "append"),
-    "metrics_cumulative": (cumulative_states, "complete"),
+    "metrics_5min": (event_type_states, "append", "5 minutes"),
+    "metrics_10min": (regional_states, "append", "10 minutes"),
+    "metrics_conditional": (conditional_states, "append", "5 minutes"),
+    "metrics_users": (user_states, "append", "5 minutes"),
+    "metrics_cumulative": (cumulative_states, "complete", None),
 }
 DEFAULT_STREAMS = ("archive", "metrics_5min", "metrics_10min")
 
@@ -95,8 +96,9 @@ def start_streams(
     """Fan one stream of decoded events out. Each query reads the source on its own and has
     its own checkpoint; raw events and anomalies share one. Metrics count what the raw table
     takes; ``validated=False`` lets them count every row, malformed ones in a group of NULLs,
-    except amounts no table column can hold. Metrics that append count an event once if its
-    repeats come within the watermark.
+    except amounts no table column can hold. Windows count an event once. Events that come when
+    their window is closed are dropped; the run log has their number, and the archive puts those
+    that are late by its own clock into quarantine, with the windows they missed.
 
     ``from_archive`` lets the archive compute the metrics of each load from the events it adds:
     the source is fetched and decoded once for all of them, an event counts once however often
@@ -121,7 +123,9 @@ def start_streams(
         if name == "archive":
             # Totals so far are those the archive keeps by day.
             states = tuple(METRICS[n][0] for n in within if METRICS[n][1] == "append")
-            sink, mode, every = archive_sink(store, limits, states), "append", archive_every
+            closing = {n: METRICS[n][2] for n in streams if n in METRICS and n not in within}
+            sink = archive_sink(store, limits, states, {n: size for n, size in closing.items() if size})
+            mode, every = "append", archive_every
             failed = F.count(F.when(is_refused(events, FORGIVEN), 1)).alias("failed")
             frame = events.withColumn(SEEN_AT, F.current_timestamp()).observe(REFUSED, failed)
         elif name == "high_frequency":
@@ -131,10 +135,11 @@ def start_streams(
             mode = "update" if early_alerts else "append"
             sink = alert_sink(store) if early_alerts else table_sink(store, "anomalies")
         else:
-            metric, mode = METRICS[name]
+            metric, mode, size = METRICS[name]
             counted = exact_amounts(split_by_rules(events, forgiven)[0])
             if mode == "append":
-                frame = metric(drop_repeats(counted), watermark=None)
+                timed = counted.withWatermark("timestamp", WATERMARK)
+                frame = metric(drop_repeats_in_windows(timed, size), watermark=None)
             else:  # no other state may come before totals so far
                 frame = metric(counted)
             every, sink = metrics_every, state_sink(store)

@@ -50,8 +50,9 @@ class Totals:
 
 
 class StreamTotals(StreamingQueryListener):
-    """Adds up the report of every batch; Spark itself keeps only the latest hundred. Refused
-    rows are counted in the same pass that archives them. To be added before streams start:
+    """Adds up the report of every batch; Spark itself keeps only the latest hundred. Failed are
+    the refused rows, counted in the same pass that archives them, and for metrics the rows that
+    came when their window was closed. To be added before streams start:
     ``spark.streams.addListener(totals)``."""
 
     def __init__(self):
@@ -69,6 +70,7 @@ class StreamTotals(StreamingQueryListener):
             run = self._runs.setdefault(str(report.runId), Totals(_time(report.timestamp)))
             run.processed += report.numInputRows
             run.failed += refused.failed if refused else 0
+            run.failed += sum(s.numRowsDroppedByWatermark for s in report.stateOperators)
             run.milliseconds += report.durationMs.get("triggerExecution", 0)
 
     def onQueryIdle(self, event) -> None:
@@ -93,13 +95,14 @@ def _recent(query) -> Totals:
     return Totals(
         _time(batches[0]["timestamp"]) if batches else datetime.now(timezone.utc),
         sum(int(b["numInputRows"]) for b in batches),
+        failed=sum(int(s["numRowsDroppedByWatermark"]) for b in batches for s in b["stateOperators"]),
         milliseconds=sum(int(b["durationMs"].get("triggerExecution", 0)) for b in batches),
     )
 
 
 def log_stream(store: Store, query, totals: StreamTotals | None = None) -> None:
     """Log a streaming query. Without ``totals`` only its latest hundred batches are known, and
-    no refused rows."""
+    of failed rows only the late ones."""
     run = totals.of(query) if totals else _recent(query)
     failure = query.exception()
     log_run(

@@ -4,13 +4,15 @@ from its checkpoint, and the table replaces what the first try left behind."""
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringtally.functions.columns import wire_time
+
 from ringtally.operators.anomalies import find_anomalies
 from ringtally.operators.events import (
     drop_repeats,
@@ -21,7 +23,7 @@ from ringtally.operators.events import (
     validate,
 )
 from ringtally.operators.rollups import daily_partials
-from ringtally.schema import Limits
+from ringtally.schema import WATERMARK, Limits
 from ringtally.sources import jdbc
 from ringtally.sources.store import Store
 
@@ -95,10 +97,45 @@ def stored_before(store: Store, table: str, batch: DataFrame, piece: str) -> Dat
     return rows
 
 
+def watermark_before(store: Store, query: str, batch_id: int, batch: DataFrame) -> datetime | None:
+    """The newest event time of the batches before this one, less the watermark's delay, as
+    streaming queries have it; None for the first. Notes the newest time of this batch: two rows
+    per query and day are kept, so a batch that is tried again finds the same."""
+    rows = store.read("stream_clock").filter((F.col("load_id") == query) & (F.col("batch_id") < batch_id))
+    last = rows.orderBy(F.desc("batch_id")).first()
+    newest = batch.agg(F.max("timestamp").alias("newest")).first().newest
+    known = [t for t in (last and last.newest, newest) if t is not None]
+    clock = [(batch_id, max(known, default=None))] + ([(last.batch_id, last.newest)] if last else [])
+    frame = store.spark.createDataFrame(clock, "batch_id bigint, newest timestamp")
+    store.load("stream_clock", frame.coalesce(1), query, layout=None)
+    if not last or last.newest is None:
+        return None
+    amount, unit = WATERMARK.split()
+    return last.newest - timedelta(**{unit.rstrip("s") + "s": int(amount)})
+
+
+def late_events(events: DataFrame, closed: datetime, windows: dict[str, str]) -> DataFrame:
+    """Events of windows that end before ``closed``, with the windows they missed (name of the
+    metric and start) as ``broken_rules``."""
+
+    def missed(name: str, size: str) -> Column:
+        window = F.window("timestamp", size)
+        text = F.concat(F.lit(f"late_for_{name}@"), wire_time(window["start"]))
+        return F.when(window["end"] <= F.lit(closed), text)
+
+    # One window expression per projection: the analyzer allows no more.
+    for name, size in windows.items():
+        events = events.withColumn(f"missed_{name}", missed(name, size))
+    names = [f"missed_{name}" for name in windows]
+    reasons = F.concat_ws(",", *names)
+    return events.withColumn("broken_rules", reasons).filter("broken_rules <> ''").drop(*names)
+
+
 def archive_sink(
     store: Store,
     limits: Limits = Limits(),
     states: tuple[Callable[[DataFrame], DataFrame], ...] = (),
+    windows: dict[str, str] | None = None,
 ) -> Sink:
     """Raw events, quarantine, anomalies and totals from one read of the source. The batch
     (decoded, not yet validated) is kept while the tables are written, so messages are fetched
@@ -107,7 +144,10 @@ def archive_sink(
     An event is stored once: of repeats within the batch the earliest is taken, and events that
     another load has stored are left out, whether they are delivered again in a later batch or
     to a new checkpoint. Totals by day, and the window ``states`` of the given metrics, are those
-    of the events this load adds, so they stay right under repeats, late events and restarts."""
+    of the events this load adds, so they stay right under repeats, late events and restarts.
+
+    ``windows`` are names and window sizes of metric queries that drop late events: events that
+    come when such a window is closed are archived, and go to quarantine as well."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -127,6 +167,10 @@ def archive_sink(
             found, _ = split_by_rules(found, table="anomalies")
             added = exact_amounts(fresh)
             store.load("raw_events", added, piece, layout=None)
+            if windows:
+                closed = watermark_before(store, piece.rpartition("-")[0], batch_id, good)
+                if closed is not None:
+                    refused = refused.unionByName(late_events(fresh, closed, windows))
             refused = refused.withColumns(
                 {
                     "event_data": original_text(refused),

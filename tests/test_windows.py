@@ -1,6 +1,7 @@
 """Stored windows, totals and users over several loads, queries and checkpoints."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from ringtally.sources.sample import usage_events
 from ringtally.sources.store import Store
 from ringtally.streaming.jobs import await_all, start, start_streams
 from ringtally.streaming.sinks import archive_sink
+from ringtally.streaming.runlog import StreamTotals, log_stream
 from tests.rows import at, event, frame
 from tests.test_streams import FOLDER, Inbox, ids, wire
 
@@ -115,6 +117,31 @@ def test_repeats_count_once_in_windows(spark, store, inbox, folder):
     assert counts(windows.stored_metrics(store)) == {at(0): 2}
 
 
+def test_late_events_are_counted_and_kept(spark, store, inbox, folder):
+    """As Spark drops them: a batch closes windows, and the batches after it drop their rows."""
+    inbox.put(wire("a", at(1)), wire("b", at(8)))  # watermark 12:07
+    inbox.put(wire("c", at(8)))
+    inbox.put(wire("late", at(2)), wire("late2", at(3)), wire("late2", at(3)), wire("kept", at(5.5)), wire("c", at(8)))
+    inbox.put(wire("end", at(30)))
+    inbox.put(wire("end2", at(31)))
+    totals = StreamTotals()
+    spark.streams.addListener(totals)
+    try:
+        queries = start_streams(inbox.stream(spark), store, folder + "/cp", ("archive", "metrics_5min"), continuous=False)
+        await_all(queries)
+        for query in queries:
+            log_stream(store, query, totals)
+    finally:
+        spark.streams.removeListener(totals)
+    assert counts(windows.stored_metrics(store)) == {at(0): 1, at(5): 3}
+    log = {r.pipeline_name: r.records_failed for r in store.read("pipeline_monitoring").collect()}
+    assert log == {"archive": 0, "metrics_5min": 3}  # each delivery of a late event
+    late = {r.event_id: r.broken_rules for r in store.read("quarantined_events").collect()}
+    assert late == {e: "late_for_metrics_5min@2024-03-10T12:00:00.000000Z" for e in ("late", "late2")}
+    assert ids(store.read("raw_events")) == ["a", "b", "c", "end", "end2", "kept", "late", "late2"]
+    assert store.read("stream_clock").count() == 2
+
+
 # Windows add up
 
 
@@ -125,8 +152,6 @@ def test_a_new_checkpoint_adds_to_stored_windows(spark, store, folder):
     first.put(wire("end2", at(31)))
     run(spark, first, store, folder + "/cp", "metrics_5min")
     assert counts(windows.stored_metrics(store)) == {at(0): 3}
-    import os
-
     os.mkdir(folder + "/more")
     second = Inbox(folder + "/more")
     second.put(wire("late", at(3), duration_seconds=60))
@@ -180,8 +205,6 @@ def test_metrics_from_the_archive(spark, store, inbox, folder):
 
 
 def test_totals_of_two_checkpoints_add_up(spark, store, folder):
-    import os
-
     for name, n in (("one", 3), ("two", 2)):
         os.mkdir(f"{folder}/{name}")
         inbox = Inbox(f"{folder}/{name}")
