@@ -6,9 +6,11 @@ retried micro-batch, a rerun of a day - leaves the same table as the first time.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date as Date
 from datetime import timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +50,7 @@ class Store:
 
     def read(self, table: str) -> DataFrame:
         """The whole table. Filters on its day column prune folders."""
-        return self.spark.read.schema(TABLES[table].schema).parquet(self.path(table))
+        return self._visible(table, self.spark.read.schema(TABLES[table].schema).parquet(self.path(table)))
 
     def read_days(self, table: str, first: Date, last: Date) -> DataFrame:
         """Only the folders of these days are listed and read, however long the history."""
@@ -62,11 +64,12 @@ class Store:
         ]
         if not present:
             return self.spark.createDataFrame([], TABLES[table].schema)
-        return (
+        rows = (
             self.spark.read.schema(TABLES[table].schema)
             .option("basePath", self.path(table))
             .parquet(*present)
         )
+        return self._visible(table, rows)
 
     def has_day(self, table: str, day: Date | None) -> bool:
         column = self._day_column(table)
@@ -135,43 +138,114 @@ class Store:
         filters on it and on ``event_id``, so that one subscriber or event is read from few row
         groups.
 
-        The new files are complete before two renames swap the folders, and a swap that was cut
-        off is finished by the next call. Between the renames the day is absent, so run it where
-        no report reads the day, and only when its streams are past it."""
-        column = self._day_column(table)
+        Readers see the old loads or the new one, never both or none: a note of what is hidden
+        appears by one rename, before the new files do, and another, of the old loads, takes its
+        place once they are there. A compaction that was cut off is finished or undone by the
+        next call. A read that began before may miss files that are deleted at the end. Run it
+        when the streams are past the day: a load that is tried again later is added anew,
+        except raw events, which are compared with what is stored."""
         spec = TABLES[table]
         if "load_id" not in spec.partitions:
             raise ValueError(f"{table} is not stored by load")
-        fs, folder = self._files(f"{self.path(table)}/{column}={day}")
-        _, old = self._files(f"{self.path(table)}/_replaced/{column}={day}")
-        _, fresh = self._files(f"{self.path(table)}/_fresh/{column}={day}")
-        if not fs.exists(folder) and fs.exists(old):
-            fs.rename(old, folder)
-        if not fs.exists(folder):
+        self._finish_swap(table, day)
+        column = self._day_column(table)
+        if not self.has_day(table, day):
             return False
         rows = self.read_days(table, day, day)
-        loads = rows.select("load_id").distinct().limit(2).collect()
-        if not loads or (len(loads) == 1 and loads[0].load_id == "compacted"):
+        loads = [r.load_id for r in rows.select("load_id").distinct().collect()]
+        if not loads or (len(loads) == 1 and loads[0].startswith("compacted")):
             return False
-        inner = [name for name in spec.partitions if name != column]
-        rows = (merge(rows) if merge else rows).withColumn("load_id", F.lit("compacted"))
+        name = "compacted" if "compacted" not in loads else f"compacted-{uuid.uuid4().hex[:8]}"
+        inner = [n for n in spec.partitions if n != column]
+        rows = (merge(rows) if merge else rows).withColumn("load_id", F.lit(name))
         rows = rows.select(*[n for n in [*spec.columns, "load_id"] if n != column])
         if by_subscriber:
             rows = rows.repartitionByRange("msisdn", "timestamp").sortWithinPartitions("msisdn", "timestamp")
         else:
             rows = rows.hint("rebalance")
         writer = rows.write.mode("overwrite").partitionBy(*inner)
-        for name in ("msisdn", "event_id") if by_subscriber else ():
-            writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
-        writer.parquet(fresh.toString())
-        fs.delete(old, True)
-        fs.mkdirs(old.getParent())
-        for source, target in ((folder, old), (fresh, folder)):
-            if not fs.rename(source, target):
+        for indexed in ("msisdn", "event_id") if by_subscriber else ():
+            writer = writer.option(f"parquet.bloom.filter.enabled#{indexed}", "true")
+        fresh = f"{self.path(table)}/_fresh/{column}={day}"
+        writer.parquet(fresh)
+        self._note(table, day, "new", [name])
+        for source in self._load_folders(fresh, {name}):
+            fs, target = self._files(source.replace("/_fresh/", "/"))
+            fs.mkdirs(target.getParent())
+            if not fs.rename(self._files(source)[1], target):
                 raise OSError(f"cannot rename {source} to {target}")
-        fs.delete(old, True)
+        self._note(table, day, "old", loads)
+        self._finish_swap(table, day)
         return True
 
+    # Notes of loads that a compaction hides: files named after day and kind, a load a line.
+
+    def _note_path(self, table: str, name: str = "") -> str:
+        return f"{self.path(table)}/_swaps/{name}"
+
+    def _note(self, table: str, day: Date, kind: str, loads: list[str]) -> None:
+        fs, draft = self._files(self._note_path(table, f"_{day}.{kind}"))
+        out = fs.create(draft, True)
+        out.write(bytearray("\n".join(loads).encode()))
+        out.close()
+        if not fs.rename(draft, self._files(self._note_path(table, f"{day}.{kind}"))[1]):
+            raise OSError(f"cannot rename {draft}")
+
+    def _notes(self, table: str) -> dict[str, list[str]]:
+        """Hidden loads by day and kind."""
+        fs, where = self._files(self._note_path(table))
+        if not fs.exists(where):
+            return {}
+        names = [s.getPath().getName() for s in fs.listStatus(where)]
+        found = {}
+        for name in names:
+            if name.endswith((".new", ".old")) and not name.startswith("_"):
+                lines = self.spark.read.text(self._note_path(table, name)).collect()
+                found[name] = [r.value for r in lines]
+        return found
+
+    def _visible(self, table: str, rows: DataFrame) -> DataFrame:
+        if "load_id" not in TABLES[table].partitions:
+            return rows
+        notes = self._notes(table)
+        for day in {name[:-4] for name in notes}:
+            loads = notes.get(f"{day}.old", notes.get(f"{day}.new"))
+            at = F.col(self._day_column(table)).eqNullSafe(F.lit(day).cast("date"))
+            rows = rows.filter(~(at & F.col("load_id").isin(loads)))
+        return rows
+
+    def _load_folders(self, folder: str, loads: set[str]) -> list[str]:
+        """Folders of these loads below a day's folder."""
+        fs, where = self._files(folder)
+        if not fs.exists(where):
+            return []
+        found = []
+        for status in fs.listStatus(where):
+            name = status.getPath().getName()
+            if name.startswith("load_id="):
+                if unquote(name.split("=", 1)[1]) in loads:
+                    found.append(f"{folder}/{name}")
+            elif status.isDirectory():
+                found += self._load_folders(f"{folder}/{name}", loads)
+        return found
+
+    def _finish_swap(self, table: str, day: Date) -> None:
+        """Delete what the day's notes hide, then the notes."""
+        notes = self._notes(table)
+        hidden = notes.get(f"{day}.old", notes.get(f"{day}.new"))
+        if hidden is None:
+            return
+        if f"{day}.old" in notes and f"{day}.new" in notes:  # the later note holds; the first goes
+            self._delete(self._note_path(table, f"{day}.new"))
+        for folder in self._load_folders(f"{self.path(table)}/{self._day_column(table)}={day}", set(hidden)):
+            self._delete(folder)
+        for kind in ("new", "old"):
+            self._delete(self._note_path(table, f"{day}.{kind}"))
+
+    def _delete(self, path: str) -> None:
+        fs, where = self._files(path)
+        fs.delete(where, True)
+
     def expire(self, table: str, as_of: Date, keep_days: int) -> list[Date]:
         """Drop the days before ``as_of`` minus ``keep_days``; returns them."""
         limit = as_of - timedelta(days=keep_days)

@@ -119,12 +119,35 @@ def test_a_closed_day_of_many_loads_is_compacted(spark, store):
         store.compact("daily_stats", DAY)
 
 
-def test_a_compaction_that_was_cut_off_is_finished(spark, store):
+@pytest.mark.parametrize("step", range(9))
+def test_a_compaction_that_was_cut_off(spark, store, monkeypatch, step):
+    """It fails before one of its changes to files. Readers see every row once, before and after
+    the next call, which finishes it."""
     for i in range(3):
         store.load("raw_events", frame(spark, event(f"a{i}")), f"load-{i}")
-    fs, folder = store._files(f"{store.path('raw_events')}/event_date={DAY}")
-    _, old = store._files(f"{store.path('raw_events')}/_replaced/event_date={DAY}")
-    fs.mkdirs(old.getParent())
-    assert fs.rename(folder, old)  # what a crash between the two renames leaves
-    assert store.compact("raw_events", DAY)
-    assert sorted(r.event_id for r in store.read("raw_events").collect()) == ["a0", "a1", "a2"]
+    calls = []
+
+    def failing(name):
+        method = getattr(Store, name)
+
+        def step_of(self, *args):
+            calls.append(name)
+            if len(calls) == step + 1:
+                raise RuntimeError("cut off")
+            return method(self, *args)
+
+        return step_of
+
+    seen = lambda: sorted(r.event_id for r in store.read("raw_events").collect())
+    with monkeypatch.context() as patched:
+        for name in ("_note", "_load_folders", "_delete"):
+            patched.setattr(Store, name, failing(name))
+        try:
+            store.compact("raw_events", DAY)
+            assert len(calls) <= step
+        except RuntimeError:
+            pass
+        assert seen() == ["a0", "a1", "a2"]
+    store.load("raw_events", frame(spark, event("late")), "later")
+    assert store.compact("raw_events", DAY) and seen() == ["a0", "a1", "a2", "late"]
+    assert store._notes("raw_events") == {} and len({r.load_id for r in store.read("raw_events").collect()}) == 1
