@@ -18,10 +18,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F
 
 import registry
-from ringtally.plans.daily import run_rollups
+from ringtally.operators.events import encode
+from ringtally.plans import reports
+from ringtally.plans.daily import newest_time, run_rollups, stored_tables
 from ringtally.session import build_session
 from ringtally.sources.sample import usage_events
+from ringtally.sources.messages import text_messages
 from ringtally.sources.store import Store
+from ringtally.streaming.jobs import await_all, decoded_events, start_streams
 
 HEADLINE = [
     "metrics_5min",
@@ -51,6 +55,40 @@ def seconds(action) -> float:
     return round(time.perf_counter() - start, 3)
 
 
+def stored_reports(store) -> dict[str, float]:
+    """Reports on the stored tables, the present moment taken from the newest day once."""
+    now = newest_time(store)
+    tables = stored_tables(store)
+    names = ["recent_counts", "region_users", "top_regions_by_data", "call_durations", "peak_hours"]
+    times = {"newest_time": seconds(lambda: newest_time(store))}
+    for name in names:
+        report = getattr(reports, name)
+        report(tables, as_of=now).collect()
+        times[name] = min(seconds(lambda: report(tables, as_of=now).collect()) for _ in range(3))
+    return times
+
+
+def streams(spark, folder) -> dict[str, float]:
+    """Archive and three metrics over JSON messages in 4 files: as queries of their own, each of
+    which parses the messages, and from the archive; the archive alone, and sent again."""
+    at = tempfile.mkdtemp(prefix="run-bench-")
+    encode(usage_events(spark, folder)).select("value").repartition(4).write.text(f"{at}/messages")
+    names = ("archive", "metrics_5min", "metrics_10min", "metrics_conditional")
+
+    def run(name, streams, **options):
+        store = Store(spark, f"{at}/{name}").create()
+        for i in range(options.pop("times", 1)):
+            events = decoded_events(text_messages(spark, f"{at}/messages", max_files=1))
+            await_all(start_streams(events, store, f"{at}/cp-{name}-{i}", streams, continuous=False, **options))
+
+    return {
+        "archive_only": seconds(lambda: run("alone", names[:1])),
+        "archive_delivered_twice": seconds(lambda: run("twice", names[:1], times=2)),
+        "separate_queries": seconds(lambda: run("separate", names)),
+        "from_archive": seconds(lambda: run("together", names, from_archive=True)),
+    }
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -81,6 +119,7 @@ def main() -> None:
     days = store.days("raw_events")
     n_events = store.read("raw_events").count()
     times["rollups_1m"] = seconds(lambda: run_rollups(store, days[0], days[-1]))
+    stored, stream_forms = stored_reports(store), streams(spark, folder)
 
     print(
         json.dumps(
@@ -91,6 +130,8 @@ def main() -> None:
                 "queries": times,
                 "sf": os.path.basename(folder.rstrip("/")),
                 "cpus": int(cpus),
+                "stored_reports": stored,
+                "streams": stream_forms,
                 "rollup_events": n_events,
                 "rollup_events_per_sec": round(n_events / times["rollups_1m"]),
                 "at": dt.datetime.now(dt.timezone.utc).isoformat(timespec="seconds"),

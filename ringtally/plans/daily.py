@@ -7,6 +7,7 @@ from datetime import date as Date
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
+from pyspark.sql import functions as F
 
 from ringtally.operators.events import drop_repeats
 from ringtally.operators.rollups import between_days, daily_stats, hourly_partials, hourly_stats
@@ -28,6 +29,16 @@ def stored_tables(store: Store) -> Tables:
     )
 
 
+def newest_time(store: Store):
+    """The latest event time, from the newest day that has one: the present moment (``as_of``)
+    for reports on stored tables. Days are folder names; older days are not opened."""
+    for day in reversed(store.days("raw_events")):
+        newest = store.read_days("raw_events", day, day).agg(F.max("timestamp")).first()[0]
+        if newest is not None:
+            return newest
+    return None
+
+
 def run_rollups(
     store: Store,
     first: Date,
