@@ -4,6 +4,7 @@ from its checkpoint, and the table replaces what the first try left behind."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -77,17 +78,16 @@ def state_sink(store: Store) -> Sink:
     return write
 
 
-def stored_before(store: Store, table: str, batch: DataFrame, piece: str) -> DataFrame:
-    """What other loads have stored of the days and hours in ``batch``. The load's own rows do
-    not count: it may be tried again. Events keep their time when they are delivered again, so
-    only day folders of the batch are listed, and of their files only row groups of its hours
-    are read."""
-    present = set(store.days(table))
-    days = {r.day for r in batch.select(F.to_date("timestamp").alias("day")).distinct().collect()}
-    kept = [d for d in days if d is None or d in present]
-    rows = store.read_parts(table, kept).filter(F.col("load_id") != piece)
-    hour = F.date_trunc("hour", "timestamp").alias("hour")
-    hours = [r.hour for r in batch.select(hour).distinct().limit(MOST_HOURS + 1).collect()]
+def stored_before(store: Store, table: str, hours: list[datetime | None], piece: str) -> DataFrame | None:
+    """What other loads have stored of these hours (None: events without a time); None where
+    there is nothing. The load's own rows do not count: it may be tried again. Events keep their
+    time when they are delivered again, so only day folders of the batch are listed, and of
+    their files only row groups of its hours are read."""
+    present = {*store.days(table), *([None] if store.has_day(table, None) else [])}
+    days = {hour and hour.date() for hour in hours} & present
+    if not days:
+        return None
+    rows = store.read_parts(table, list(days)).filter(F.col("load_id") != piece)
     if len(hours) <= MOST_HOURS:
         in_hours = F.col("timestamp").isNull() if None in hours else F.lit(False)
         for start in filter(None, hours):
@@ -97,13 +97,47 @@ def stored_before(store: Store, table: str, batch: DataFrame, piece: str) -> Dat
     return rows
 
 
-def watermark_before(store: Store, query: str, batch_id: int, batch: DataFrame) -> datetime | None:
+@dataclass
+class Contents:
+    """What the archive asks of a batch before it stores it, in one pass."""
+
+    n: int
+    n_ids: int
+    hours: list[datetime | None]
+    newest: datetime | None
+
+
+def contents(good: DataFrame) -> Contents:
+    hour = F.struct(F.date_trunc("hour", "timestamp").alias("at"))  # a set leaves out bare NULLs
+    row = good.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("event_id").alias("n_ids"),
+        F.collect_set(hour).alias("hours"),
+        F.max("timestamp").alias("newest"),
+    ).first()
+    return Contents(row.n, row.n_ids, [h.at for h in row.hours], row.newest)
+
+
+def fresh_events(store: Store, good: DataFrame, found: Contents, piece: str) -> DataFrame | None:
+    """The events of a batch that are to be stored, each once; None where these are all. Most
+    batches hold no repeats and nothing that is stored, and are not joined with anything."""
+    stored = stored_before(store, "raw_events", found.hours, piece)
+    if stored is not None and stored.join(good.select("event_id"), "event_id", "left_semi").isEmpty():
+        stored = None
+    if found.n == found.n_ids and stored is None:
+        return None
+    once = drop_repeats(good) if found.n > found.n_ids else good
+    return once if stored is None else new_events(once, stored)
+
+
+def watermark_before(
+    store: Store, query: str, batch_id: int, newest: datetime | None
+) -> datetime | None:
     """The newest event time of the batches before this one, less the watermark's delay, as
     streaming queries have it; None for the first. Notes the newest time of this batch: two rows
     per query and day are kept, so a batch that is tried again finds the same."""
     rows = store.read("stream_clock").filter((F.col("load_id") == query) & (F.col("batch_id") < batch_id))
     last = rows.orderBy(F.desc("batch_id")).first()
-    newest = batch.agg(F.max("timestamp").alias("newest")).first().newest
     known = [t for t in (last and last.newest, newest) if t is not None]
     clock = [(batch_id, max(known, default=None))] + ([(last.batch_id, last.newest)] if last else [])
     frame = store.spark.createDataFrame(clock, "batch_id bigint, newest timestamp")
@@ -157,20 +191,23 @@ def archive_sink(
                 return
             piece = load_id(batch, batch_id)
             good, refused = split_by_rules(kept, FORGIVEN)
-            once = drop_repeats(good)
-            fresh = new_events(once, stored_before(store, "raw_events", good, piece))
-            fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-            seen_at = F.col(SEEN_AT) if SEEN_AT in kept.columns else None
+            found = contents(good)
+            fresh = fresh_events(store, good, found, piece)
             # Limits are tested on the values as they came: none is too large to be reported.
-            tested = fresh.unionByName(validate(refused.drop("broken_rules")))
-            found = find_anomalies(tested, limits, seen_at, with_event=True)
-            found, _ = split_by_rules(found, table="anomalies")
-            added = exact_amounts(fresh)
-            store.load("raw_events", added, piece, layout=None)
+            if fresh is None:
+                added, tested = good, validate(kept)
+            else:
+                added = fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+                tested = fresh.unionByName(validate(refused.drop("broken_rules")))
+            seen_at = F.col(SEEN_AT) if SEEN_AT in kept.columns else None
+            strange = find_anomalies(tested, limits, seen_at, with_event=True)
+            strange, _ = split_by_rules(strange, table="anomalies")
+            exact = exact_amounts(added)
+            store.load("raw_events", exact, piece, layout=None)
             if windows:
-                closed = watermark_before(store, piece.rpartition("-")[0], batch_id, good)
+                closed = watermark_before(store, piece.rpartition("-")[0], batch_id, found.newest)
                 if closed is not None:
-                    refused = refused.unionByName(late_events(fresh, closed, windows))
+                    refused = refused.unionByName(late_events(added, closed, windows))
             refused = refused.withColumns(
                 {
                     "event_data": original_text(refused),
@@ -178,10 +215,10 @@ def archive_sink(
                 }
             )
             store.load("quarantined_events", refused, piece, layout=None)
-            store.load("anomalies", found, piece, layout=None)
-            store.load("usage_totals", daily_partials(added), piece, layout="repartition")
+            store.load("anomalies", strange, piece, layout=None)
+            store.load("usage_totals", daily_partials(exact), piece, layout="repartition")
             if states:
-                rows = reduce(DataFrame.unionByName, [state(added) for state in states])
+                rows = reduce(DataFrame.unionByName, [state(exact) for state in states])
                 rows = rows.withColumns({"query_id": F.lit(piece), "batch_id": F.lit(batch_id)})
                 store.load("window_states", rows, piece, layout="repartition")
         finally:

@@ -97,16 +97,22 @@ def test_batches_tried_again_after_any_table(spark, store, inbox, folder, monkey
 
 
 def test_only_touched_days_and_hours_are_compared(spark, store):
-    from ringtally.streaming.sinks import stored_before
+    from ringtally.streaming.sinks import contents, stored_before
 
     for day in (9, 10, 11):
         store.load("raw_events", frame(spark, event("a", time=at(0, day)), event("b", time=at(300, day))), f"d{day}")
+
+    def stored(batch, piece="own"):
+        return stored_before(store, "raw_events", contents(batch).hours, piece)
+
     batch = frame(spark, event("x", time=at(5)))
-    assert ids(stored_before(store, "raw_events", batch, "own")) == ["a"]
-    assert ids(stored_before(store, "raw_events", batch, "d10")) == []
-    assert len(stored_before(store, "raw_events", batch, "own").inputFiles()) <= 4  # one day
+    assert ids(stored(batch)) == ["a"] and ids(stored(batch, "d10")) == []
+    assert {f.split("event_date=")[1][:10] for f in stored(batch).inputFiles()} == {"2024-03-10"}
     many = frame(spark, *[event(str(i), time=at(60 * i, 1)) for i in range(10 * 24)])
-    assert ids(stored_before(store, "raw_events", many, "own")) == ["a"] * 3 + ["b"] * 3
+    assert ids(stored(many)) == ["a"] * 3 + ["b"] * 3
+    store.load("raw_events", frame(spark, event("n", time=None)), "none")
+    assert ids(stored(frame(spark, event("x", time=at(0)), event("y", time=None)))) == ["a", "n"]
+    assert stored(frame(spark, event("x", time=at(0, 20)))) is None
 
 
 def test_repeats_count_once_in_windows(spark, store, inbox, folder):
