@@ -5,7 +5,7 @@ matrices of pieces of similar length. In each round every row finds its leftmost
 lowest rank, merges it, and closes the gap; rows without a pair left leave the matrix. Pairs
 are looked up in an open-addressing hash table of (left id, right id). Everything is local to
 a batch of documents: nothing is shuffled. A worker keeps the ids of the pieces it has seen,
-up to KEPT_PIECES, and starts anew beyond; that changes its speed, never an id.
+up to KEPT_PIECES, and forgets the less used half beyond; that changes its speed, never an id.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import heapq
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -94,9 +95,36 @@ class Vocabulary:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids = np.zeros(0, np.int32)
-        self.start = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.ids, self.n_ids = np.zeros(1 << 16, np.int32), 0
+        self.start = np.zeros(1 << 12, np.int64)
+        self.length = np.zeros(1 << 12, np.int64)
+        self.uses = np.zeros(1 << 12, np.int64)
+
+    def keep_hot(self) -> None:
+        """Forget the half of the known pieces that was used least."""
+        n = len(self.known)
+        hot = np.sort(np.argpartition(-self.uses[:n], n // 2)[: n // 2])
+        pieces = list(self.known)
+        ids, ends = ragged(self.ids, self.start[hot], self.length[hot])
+        lengths, uses = self.length[hot], self.uses[hot]
+        self.forget()
+        self._add([pieces[i] for i in hot.tolist()], ids, lengths)
+        self.uses[: len(hot)] = uses
+
+    def _add(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """New pieces with their ids, one after another; arrays grow by doubling."""
+        at, end = len(self.known), len(self.known) + len(pieces)
+        self.known.update(zip(pieces, range(at, end)))
+        for name, least in (("start", end), ("length", end), ("uses", end), ("ids", self.n_ids + len(ids))):
+            held = getattr(self, name)
+            if len(held) < least:
+                grown = np.zeros(max(2 * len(held), least), held.dtype)
+                grown[: len(held)] = held
+                setattr(self, name, grown)
+        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+        self.start[at:end] = self.n_ids + np.cumsum(lengths) - lengths
+        self.length[at:end] = lengths
+        self.n_ids += len(ids)
 
     def learn(self, pieces: list[str]) -> None:
         """Merge pieces not seen before."""
@@ -116,25 +144,24 @@ class Vocabulary:
                 ids[np.arange(width) >= sizes[part][:, None]] = -1
                 for r, row in zip(part, merge_rows(ids, self.table)):
                     merged[r] = row
-        at = len(self.known)
-        self.known.update(zip(pieces, range(at, at + len(pieces))))
         lengths = np.array([len(m) for m in merged], np.int64)
-        starts = len(self.ids) + np.cumsum(lengths) - lengths
-        self.ids = np.concatenate([self.ids, *merged])
-        self.start = np.concatenate([self.start, starts])
-        self.length = np.concatenate([self.length, lengths])
+        self._add(pieces, np.concatenate(merged), lengths)
 
     def encode(self, texts: list[str | None]) -> pa.Array:
         """One list of ids per text; NULL is encoded as the empty text."""
         split = [self.split(t) if t else [] for t in texts]
         if len(self.known) > KEPT_PIECES:
-            self.forget()
-        new = list({p for pieces in split for p in pieces if p not in self.known})
-        if new:
-            self.learn(new)
+            self.keep_hot()
         counts = np.array([len(p) for p in split], np.int64)
-        get = self.known.__getitem__
-        codes = np.fromiter((get(p) for ps in split for p in ps), np.int64, int(counts.sum()))
+        flat = list(chain.from_iterable(split))
+        codes = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
+        missed = np.flatnonzero(codes < 0)
+        if len(missed):
+            unknown = [flat[i] for i in missed.tolist()]
+            self.learn(list(dict.fromkeys(unknown)))
+            codes[missed] = np.fromiter(map(self.known.__getitem__, unknown), np.int64, len(unknown))
+        n = len(self.known)
+        self.uses[:n] += np.bincount(codes, minlength=n)
         values, ends = ragged(self.ids, self.start[codes], self.length[codes])
         piece_ends = np.concatenate([[0], np.cumsum(counts)])
         offsets = np.concatenate([[0], ends])[piece_ends]

@@ -267,3 +267,19 @@ def test_empty_tables(spark, documents):
     assert near_dedup.groups(none).count() == 0
     assert byte_bpe.digests(byte_bpe.round_trip(none, path, pattern)).count() == 0
     assert language_mixture.languages(none).count() == 0
+
+
+def test_forgetting_pieces_changes_no_id(monkeypatch):
+    import tiktoken
+
+    path, pattern = tokenizer()
+    small = byte_bpe.Vocabulary(path, pattern)
+    texts = [prose(i, 60, "abcdefgé") + " the end of it" for i in range(60)] + ["", None]
+    tokens = {bytes(small.token_bytes[s : s + n]): i for i, (s, n) in enumerate(zip(small.token_start, small.token_length)) if n}
+    exact = tiktoken.Encoding("exact", pat_str=pattern, mergeable_ranks=tokens, special_tokens={})
+    monkeypatch.setattr(byte_bpe, "KEPT_PIECES", 100)
+    for i in range(0, len(texts), 7):
+        got = small.encode(texts[i : i + 7]).to_pylist()
+        assert got == [exact.encode_ordinary(t or "") for t in texts[i : i + 7]]
+        assert len(small.known) < 1000
+    assert small.known[" the"] < 100 and small.uses[small.known[" the"]] > 30  # used often, so it stayed
