@@ -178,5 +178,39 @@ def test_recall_where_a_tight_group_is_stored_first(spark):
     assert np.mean(hard) >= 0.95 and min(hard) >= 0.7
 
 
+def test_null_and_large_ids(spark):
+    rng = np.random.default_rng(4)
+    rows = [(2**53 + 1 + i, [float(x) for x in p]) for i, p in enumerate(rng.normal(size=(50, 6)))]
+    found = adaptive_scan.search(vectors(spark, rows + [(None, [1.0] * 6)]), F.lit(True)).collect()
+    assert {r.query_id for r in found} == {r.vec_id for r in found} == {i for i, _ in rows}
+
+
+def test_candidates_are_abandoned_from_the_first_columns_on():
+    """Clustered vectors: with the bound of the nearest list most others end early, and none of
+    the true neighbours is lost."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(100, 64))
+    points = centres[np.arange(10_000) % 100] + 0.3 * rng.normal(size=(10_000, 64))
+    ids, k = np.arange(10_000), 20
+    top = np.square(points).sum(1).max()
+    turn = np.linalg.qr(rng.normal(size=(65, 65)))[0]
+    own = ids[::250]
+    scores = points[own] @ points.T
+    scores[np.arange(len(own)), own] = -np.inf
+    exact = np.sort(scores, axis=1)[:, ::-1][:, :k]
+    home = np.array([np.sort(row[ids % 100 == q % 100])[::-1][k - 1] for row, q in zip(scores, own)])
+    work = adaptive_scan.Work()
+    blocks = adaptive_scan.Blocks((adaptive_scan.lifted(points, top) @ turn).astype(np.float32))
+    at, found, got = adaptive_scan.scan(points[own], own, home, ids, points, blocks, turn, top, k, work)
+    assert work.pairs == 40 * 10_000 and work.abandoned > 0.9 * work.pairs
+    assert work.read < 0.7 * work.all
+    kept = [np.isin(np.round(exact[q], 9), np.round(got[at == q], 9)).mean() for q in range(len(own))]
+    assert np.mean(kept) >= 0.97 and not (found == own[at]).any()
+    at, found, got = adaptive_scan.scan(  # without a bound nothing is tested
+        points[own], own, np.full(len(own), -np.inf), ids, points, blocks, turn, top, k, adaptive_scan.Work()
+    )
+    assert np.allclose(got.reshape(len(own), k), exact)
+
+
 def test_settings_of_the_scan_are_not_lowered():
     assert adaptive_scan.RECALL >= 0.97 and adaptive_scan.EPSILON >= 1.3
