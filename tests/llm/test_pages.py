@@ -214,3 +214,31 @@ def test_candidates_are_abandoned_from_the_first_columns_on():
 
 def test_settings_of_the_scan_are_not_lowered():
     assert adaptive_scan.RECALL >= 0.97 and adaptive_scan.EPSILON >= 1.3
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 700_000, '<a ">" ' * 300_000 + "'", "<div>" * 100_000 + "</b>" * 300_000, "</ " * 600_000,
+    "<ul>" + "<div>" * 100_000 + "<li></li>" * 100_000, "<b>" * 100_000 + "<div></div>" * 100_000,
+    "<p>" + "<b>" * 100_000 + "<div>x</div>" * 100_000, "<!" * 900_000, "<!--" * 400_000 + ">", "<a 'x" * 300_000 + ">",
+])
+def test_broken_pages_take_time_in_proportion(page):
+    import time
+
+    from ringtally.llm.html_tree import parse
+
+    start = time.perf_counter()
+    parse(page)
+    assert time.perf_counter() - start < 20
+
+
+def test_broken_markup():
+    from ringtally.llm.html_tree import parse
+
+    def said(page):
+        return "".join(t for _, t in parse(page).events if t)
+
+    assert said('a <b x="1>2" y=">">bold</b> <i "open>text') == 'a bold <i "open>text'
+    assert said("x < y <5> z<!-- c > d --> e <!-- f > g") == "x < y <5> z e "
+    assert said("1<br>2<!doctype q>3</div>4</ >5<?php?>6<!-->7") == "1 23456"
+    tags = parse("<ul><li>a<li>b<ul><li>c</ul><li>d</ul><p>e<div>f</p>").tags
+    assert tags == ["#page", "ul", "li", "li", "ul", "li", "li", "p", "div"]
