@@ -95,4 +95,100 @@ SELECT c.page_id, c.url, c.fetched::VARCHAR AS fetched, c.host, coalesce(f.n_act
 FROM captures c LEFT JOIN found f ON f.host = c.host AND f.fetched = c.fetched
 """
 
-ORACLE = {"op1_fixity": OP1, "op3_url_lists": OP3, "op6_mixing": OP6}
+# CRC-32 of texts, byte by byte; the table follows from the polynomial.
+CRC_TABLE = """
+crc_table AS (
+  SELECT list(c ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))
+)"""
+
+
+def crc(bytes_in_hex: str, steps: str = "steps") -> str:
+    octets = f"list_transform(range(len({bytes_in_hex}) // 2), lambda j: ('0x' || substr({bytes_in_hex}, 2 * j + 1, 2))::BIGINT)"
+    step = f"xor(c >> 8, {steps}[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce([4294967295] || {octets}, lambda c, b: {step}), 4294967295)"
+
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = rf"""
+WITH RECURSIVE {CRC_TABLE}, runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc, unnest(regexp_extract_all({LOWER}, '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+  FROM documents
+), counted AS (
+  SELECT run, n, {crc("hex(encode(doc || ':' || run))")} AS h
+  FROM (SELECT doc, run, count(*) AS n FROM runs GROUP BY ALL), crc_table
+), vocabulary AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM counted)
+  GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3
+), less AS (  -- every word without one of its letters
+  SELECT word, n, length(word) AS size, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM vocabulary)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.size = b.size
+  WHERE a.word <> b.word
+  UNION SELECT a.word, v.word, v.n FROM less a JOIN vocabulary v ON v.word = a.rest
+  UNION SELECT v.word, a.word, a.n FROM less a JOIN vocabulary v ON v.word = a.rest
+), best AS (
+  SELECT word, near, n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS place
+  FROM pairs
+), forms AS (
+  SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN b.n >= 2 * v.n THEN b.near END AS form, CASE WHEN b.n >= 2 * v.n THEN b.n END AS form_n
+  FROM vocabulary v LEFT JOIN best b ON b.word = v.word AND b.place = 1
+), chains AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL
+  SELECT c.word, f.form FROM chains c JOIN forms f ON f.word = c.at WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chains c ON c.word = f.word JOIN forms e ON e.word = c.at AND e.form IS NULL
+"""
+
+OP12 = rf"""
+WITH {CRC_TABLE}, texts AS (
+  SELECT row_number() OVER () AS n, doc_id, FALSE AS is_target,
+         regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+  UNION ALL
+  SELECT 0, NULL, TRUE, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), features AS (
+  SELECT n, is_target, f, count(*) AS k FROM (
+    SELECT n, is_target, unnest(words) AS f FROM texts
+    UNION ALL
+    SELECT n, is_target, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) FROM texts)
+  GROUP BY ALL
+), buckets AS (
+  SELECT f, {crc("hex(encode(f))")} % 10000 AS bucket FROM (SELECT DISTINCT f FROM features), crc_table
+), totals AS (
+  SELECT bucket, coalesce(sum(k) FILTER (NOT is_target), 0)::DOUBLE AS s, coalesce(sum(k) FILTER (is_target), 0)::DOUBLE AS t
+  FROM features JOIN buckets USING (f) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain
+  FROM totals
+), weights AS (
+  SELECT n, sum(k)::BIGINT AS n_features, floor(sum(k * gain)::DOUBLE / sum(k)::DOUBLE)::BIGINT AS weight
+  FROM features JOIN buckets USING (f) JOIN gains USING (bucket) WHERE NOT is_target GROUP BY n
+), scored AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+           + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM texts LEFT JOIN weights USING (n) WHERE NOT is_target
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
+         count(*) FILTER (n_words >= 20) OVER () * 25 // 100 AS draws
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= draws THEN place END AS rank FROM placed
+"""
+
+ORACLE = {
+    "op1_fixity": OP1,
+    "op3_url_lists": OP3,
+    "op6_mixing": OP6,
+    "op11_spelling_variants": OP11,
+    "op12_importance_resampling": OP12,
+}
