@@ -185,10 +185,105 @@ WITH {CRC_TABLE}, texts AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= draws THEN place END AS rank FROM placed
 """
 
+OP7 = rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle
+  FROM texts WHERE len(words) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS size FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS same
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * same >= 75 * (x.size + y.size - same)
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+), components AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) JOIN components USING (doc_id)
+"""
+
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+DIGITS = "regexp_replace(match, '[^0-9]', '', 'g')"
+
+OP13 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents
+), kinds AS (
+  SELECT * FROM (VALUES (1, 'email', '{EMAIL}'), (2, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+    (3, 'card', '[0-9]([\x20-]?[0-9])+'), (4, 'phone', '\+[0-9][\x20().0-9-]+[0-9]'), (5, 'term', '\pL{{4,}}')) k(k, kind, pattern)
+), listed AS (
+  SELECT n, k, kind, text, i, (list_concat(pieces, ['']))[i] AS gap, found[i] AS match FROM (
+    SELECT *, unnest(range(1, len(found) + 1)) AS i FROM (
+      SELECT n, k, kind, text, string_split_regex(text, pattern) AS pieces, regexp_extract_all(text, pattern) AS found
+      FROM docs, kinds))
+), ended AS (
+  SELECT *, sum(length(gap) + length(match)) OVER (PARTITION BY n, k ORDER BY i) AS stop FROM listed
+), placed AS (
+  SELECT n, k, kind, text, match, stop - length(match) AS start, stop, {DIGITS} AS digits,
+         coalesce(lag(stop) OVER w, 0) AS before, coalesce(lead(stop - length(match)) OVER w, length(text)) AS next
+  FROM ended WHERE kind <> 'card' OR length({DIGITS}) BETWEEN 16 AND 19 WINDOW w AS (PARTITION BY n, k ORDER BY i)
+), base AS (
+  SELECT *, kind || ':' || CASE WHEN k > 2 THEN digits ELSE lower(match) END AS entity FROM placed
+  WHERE CASE kind WHEN 'email' THEN TRUE
+    WHEN 'ip' THEN list_max(list_transform(string_split(match, '.'), lambda x: coalesce(TRY_CAST(x AS BIGINT), 999))) <= 255
+    WHEN 'phone' THEN length(digits) BETWEEN 8 AND 15
+    WHEN 'card' THEN list_sum(list_transform(range(length(digits)), lambda j:
+      (substr(reverse(digits), j + 1, 1)::INT * (1 + j % 2)) // 10 + (substr(reverse(digits), j + 1, 1)::INT * (1 + j % 2)) % 10)) % 10 = 0
+    ELSE FALSE END
+), sides AS (
+  SELECT n, text, entity,
+    regexp_extract_all(lower(regexp_replace(substr(text, before + 1, start - before), '{EMAIL}', ' ', 'g')), '\pL{{4,}}') AS l,
+    regexp_extract_all(lower(regexp_replace(substr(text, stop + 1, next - stop), '{EMAIL}', ' ', 'g')), '\pL{{4,}}') AS r
+  FROM (SELECT * REPLACE (before::BIGINT AS before, start::BIGINT AS start, stop::BIGINT AS stop, next::BIGINT AS next) FROM base)
+), near AS (
+  SELECT DISTINCT n, text, entity, unnest(list_concat(l[greatest(len(l) - 7, 1):], r[:8])) AS term FROM sides
+), met AS (
+  SELECT entity, term, count(DISTINCT n) AS n_both, count(DISTINCT text) AS texts
+  FROM (SELECT n, text, entity, term FROM near UNION SELECT n, text, entity, left(term, 3) || '*' FROM near) GROUP BY ALL
+), of_entity AS (
+  SELECT entity, count(DISTINCT n) AS n_entity FROM base GROUP BY entity
+), text_terms AS (
+  SELECT n, lower(match) AS term FROM placed WHERE kind = 'term'
+), of_term AS (
+  SELECT term, count(DISTINCT n) AS n_term FROM (
+    SELECT n, term FROM text_terms UNION ALL SELECT n, left(term, 3) || '*' FROM text_terms) GROUP BY term
+), scored AS (
+  SELECT entity, term, ln(total * n_both / (n_entity::DOUBLE * n_term)) / ln(total / n_entity) AS share
+  FROM met JOIN of_entity USING (entity) JOIN of_term USING (term), (SELECT count(*)::DOUBLE AS total FROM docs)
+  WHERE texts >= 3 AND n_entity < total
+), spans AS (
+  SELECT n, k, kind, start, stop FROM base
+  UNION ALL
+  SELECT n, k, kind, start, stop FROM placed p
+  WHERE kind = 'term' AND lower(match) IN (SELECT term FROM scored WHERE share >= 0.9 AND NOT ends_with(term, '*'))
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.n = p.n AND b.start < p.stop AND p.start < b.stop)
+), written AS (
+  SELECT *, kind || ':' || start::BIGINT || ':' || stop::BIGINT AS span FROM spans
+), found AS (
+  SELECT n, count(*) FILTER (k = 1) AS n_email, count(*) FILTER (k = 2) AS n_ip, count(*) FILTER (k = 3) AS n_card,
+    count(*) FILTER (k = 4) AS n_phone, string_agg(span, ',' ORDER BY k, start) FILTER (k < 5) AS base,
+    string_agg(span, ',' ORDER BY k, start) AS spans
+  FROM written GROUP BY n
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN found USING (n)
+"""
+
 ORACLE = {
     "op1_fixity": OP1,
     "op3_url_lists": OP3,
     "op6_mixing": OP6,
+    "op7_near_dedup": OP7,
     "op11_spelling_variants": OP11,
     "op12_importance_resampling": OP12,
+    "op13_sanitisation": OP13,
 }

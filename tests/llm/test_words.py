@@ -367,3 +367,19 @@ def test_sanitised_texts(documents):
 def test_sanitising_nothing(documents):
     none = documents((1, "x")).limit(0)
     assert sanitisation.private(none).count() == 0 and sanitisation.sanitised(none).count() == 0
+
+
+def test_sql_of_sanitisation():
+    """The SQL twin agrees where terms are found, too."""
+    import duckdb
+
+    from ringtally.llm.sql import OP13
+
+    rows = people() + [(i + 1000, noisy(i, 40)) for i in range(40)] + [(2000, None)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    got = Counter((a, b, c, d, e, s) for a, b, c, d, e, _, s in con.execute(OP13).fetchall())
+    expected = all_spans(rows)
+    assert got == Counter({(r[0], *r[1:5], r[7]): n for r, n in expected.items()})
+    assert any(r[5] for r in expected)
