@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FIRST_DAY = "2024-01-01"
+RESULTS = ("host", "n_active", "lists", "entry", "blocked")
 
 
 def host_of(url: Column) -> Column:
@@ -51,10 +52,14 @@ def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
     ``lists`` (their lists, sorted), ``entry`` (the most specific) and ``blocked``: active on
     any list but not on ``allow`` by an entry at least as specific as those that block.
 
-    ``captures`` has url and fetched (a date) and keeps its other columns. A NULL url, one
-    without a host, or a NULL date matches nothing and is not blocked. Captures may repeat.
+    ``captures`` has url and fetched (a date) and keeps its other columns, except those named
+    like a result, which the result replaces. A NULL url, one without a host, or a NULL date
+    matches nothing and is not blocked. Captures may repeat.
     """
-    rows = captures.withColumn("host", host_of(F.col("url")))
+    # The captures' own columns are numbered on the way, so that no name meets another.
+    kept = [c for c in captures.columns if c not in RESULTS]
+    numbered = [F.col(f"`{c}`").alias(f"column_{i}") for i, c in enumerate(kept)]
+    rows = captures.select(*numbered, host_of(F.col("url")).alias("host"), "fetched")
     seen = rows.where("host IS NOT NULL AND fetched IS NOT NULL").select("host", "fetched").distinct()
     keys = seen.select("*", F.explode(F.array_distinct(entries_of(F.col("host")))).alias("entry"))
     keys = keys.withColumn("month", months(F.col("fetched")))
@@ -79,7 +84,7 @@ def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
     blocked = F.col("deny").isNotNull() & (F.coalesce("allow", F.lit(0)) < F.col("deny"))
     found = found.select("host", "fetched", "n_active", "lists", "entry", blocked.alias("is_blocked"))
     return rows.join(found, ["host", "fetched"], "left").select(
-        *[rows[c] for c in captures.columns],
+        *[F.col(f"column_{i}").alias(c) for i, c in enumerate(kept)],
         "host",
         F.coalesce("n_active", F.lit(0)).cast("long").alias("n_active"),
         F.coalesce("lists", F.lit("")).alias("lists"),

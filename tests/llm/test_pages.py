@@ -53,8 +53,14 @@ def test_lists_by_day(spark):
             (4, "http://b.com", day(6)), (5, "http://ok.b.com", day(3)), (6, "http://ok.b.com", day(5)),
             (7, "http://bb.com", day(5)), (8, None, day(5)), (9, "no url", day(5)), (10, "http://b.com", None),
             (11, "http://b.com", day(25)), (2, "http://b.com/x", day(3))]
-    captures = spark.createDataFrame(rows, "page_id long, url string, fetched date").selectExpr("*", "'x' AS entry_", "1 AS month")
-    got = url_lists.judge(captures, changes).collect()
+    clashing = "entry lists n_active is_blocked blocked host column_0 month start end list deny last first".split()
+    captures = spark.createDataFrame(rows, "page_id long, url string, fetched date").selectExpr(
+        "*", *[f"'x' AS `{c}`" for c in clashing])
+    found = url_lists.judge(captures, changes)
+    results = ["host", "n_active", "lists", "entry", "blocked"]
+    assert found.columns == [c for c in captures.columns if c not in results] + results
+    got = found.collect()
+    assert all(r.is_blocked == r.column_0 == r.month == "x" and r.host != "x" for r in got)
     assert len(got) == 12
     assert sorted(r.page_id for r in got if r.blocked) == [2, 2, 3, 5, 11]
     assert {r.page_id: r.lists for r in got}[6] == "allow,spam"
