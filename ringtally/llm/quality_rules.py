@@ -11,6 +11,10 @@ does, so of these each rule takes the one that separates bad from good best; a r
 rejects no more bad than good documents, or that testing did not reach, is off in that stratum.
 With probability 1 - ``delta`` no stratum rejects more than ``risk`` of its good documents
 beyond the base rules.
+
+Trials have to be independent, so a trial is a distinct text of a stratum and not a row: copies
+of one labelled text prove as much as the text alone. A text that rows label both good and bad
+is a trial of either kind, so its rejection counts against the rules.
 """
 
 from __future__ import annotations
@@ -152,10 +156,13 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 def certified(scores: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """One row per stratum: its cutoff by rule (NULL: the rule is off there). ``scores`` has
-    ``doc_id``, ``stratum`` and the counts; ``labels`` has ``doc_id`` and ``quality`` (1 good,
-    0 bad, others unused). A document labelled both ways counts as bad."""
+    ``doc_id``, ``stratum``, ``text_key`` (a digest of the text) and the counts; ``labels`` has
+    ``doc_id`` and ``quality`` (1 good, 0 bad, others unused). A document labelled both ways
+    counts as bad."""
     known = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     held_out = scores.where(~base_failed()).join(known, "doc_id")
+    # Counts follow from the text, so any row of a text will do.
+    held_out = held_out.drop("doc_id").dropDuplicates(["stratum", "text_key", "quality"])
     tests = [(r, i, r.cutoffs[i]) for r, i in PATH]
     # The first step of the path that rejects the document.
     first = F.least(*[F.when(r.rate() > c, F.lit(place)) for place, (r, _, c) in enumerate(tests)])
@@ -220,8 +227,9 @@ def judged(docs: DataFrame, labels: DataFrame, carry: bool = False, **options) -
     too few) no rule beyond the base rules rejects. With ``carry`` the result also has
     ``row``, the document with all its columns.
     """
-    keep = [F.col("doc_id"), F.col("lang"), *([F.struct("*")] if carry else [])]
-    names = ["doc_id", "stratum", *(["row"] if carry else [])]
+    key = F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    keep = [F.col("doc_id"), F.col("lang"), key, *([F.struct("*")] if carry else [])]
+    names = ["doc_id", "stratum", "text_key", *(["row"] if carry else [])]
     scores = counted(docs, *keep).withColumnsRenamed({f"k{i}": n for i, n in enumerate(names)})
     scores = staged(scores, "quality-scores")
     cutoffs = certified(scores.drop("row"), labels, **options).withColumnRenamed("stratum", "of")
@@ -231,7 +239,7 @@ def judged(docs: DataFrame, labels: DataFrame, carry: bool = False, **options) -
         rejected |= F.coalesce(rule.rate() > F.col(f"cutoff_{rule.name}"), F.lit(False))
     return joined.withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & ~rejected
-    ).drop("of")
+    ).drop("of", "text_key")
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

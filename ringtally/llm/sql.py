@@ -278,11 +278,89 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
 FROM docs LEFT JOIN found USING (n)
 """
 
+OP8 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id, lang, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT n, unnest(range(1, len(w) - 6)) AS i,
+         unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS words
+  FROM docs WHERE len(w) >= 8
+), twice AS (
+  SELECT n, i FROM windows QUALIFY count(*) OVER (PARTITION BY n, words) > 1
+), repeated AS (
+  SELECT n, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT n, unnest(range(i, i + 8)) AS place FROM twice) GROUP BY n
+), counted AS (
+  SELECT n, doc_id, lang, text, len(w)::BIGINT AS n_words,
+         coalesce(len(array_to_string(w, '')), 0)::BIGINT AS word_chars,
+         len(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         len(lines) AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echo_words
+  FROM docs LEFT JOIN repeated USING (n)
+), scored AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         {'symbols': CASE WHEN n_words > 0 THEN n_symbols::DOUBLE / n_words ELSE 0 END,
+          'dup_lines': CASE WHEN n_lines > 0 THEN n_dup_lines::DOUBLE / n_lines ELSE 0 END,
+          'repeats': CASE WHEN n_words > 0 THEN n_repeat_words::DOUBLE / n_words ELSE 0 END,
+          'echoes': CASE WHEN n_words > 0 THEN n_echo_words::DOUBLE / n_words ELSE 0 END} AS rate
+  FROM counted
+), steps(step, rule, cutoff) AS (VALUES
+  (0, 'symbols', 2.0::DOUBLE), (1, 'dup_lines', 0.9), (2, 'repeats', 0.28), (3, 'echoes', 0.8),
+  (4, 'symbols', 1.0), (5, 'dup_lines', 0.8), (6, 'repeats', 0.26), (7, 'echoes', 0.7),
+  (8, 'symbols', 0.5), (9, 'dup_lines', 0.7), (10, 'repeats', 0.24), (11, 'echoes', 0.6),
+  (12, 'symbols', 0.3), (13, 'dup_lines', 0.6), (14, 'repeats', 0.22), (15, 'echoes', 0.5),
+  (16, 'symbols', 0.2), (17, 'dup_lines', 0.5), (18, 'repeats', 0.2), (19, 'echoes', 0.4),
+  (20, 'symbols', 0.1), (21, 'dup_lines', 0.4), (22, 'echoes', 0.3), (23, 'echoes', 0.2)
+), known AS (
+  SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IN (0, 1) GROUP BY doc_id
+), trials AS (  -- one of a distinct text, stratum and label
+  SELECT lang, text, quality, any_value(rate) AS rate
+  FROM scored JOIN known USING (doc_id) WHERE NOT base_failed GROUP BY lang, text, quality
+), verdicts AS (
+  SELECT t.lang, t.text, quality, step, rule, cutoff,
+         CASE rule WHEN 'symbols' THEN rate.symbols WHEN 'dup_lines' THEN rate.dup_lines
+                   WHEN 'repeats' THEN rate.repeats ELSE rate.echoes END > cutoff AS rejects
+  FROM trials t, steps
+), so_far AS (
+  SELECT *, bool_or(rejects) OVER (PARTITION BY lang, text, quality ORDER BY step) AS lost FROM verdicts
+), sums AS (
+  SELECT lang, step, rule, cutoff, count(*) FILTER (quality = 1) AS good, count(*) FILTER (quality = 0) AS bad,
+         count(*) FILTER (quality = 1 AND lost) AS lost,
+         count(*) FILTER (quality = 1 AND rejects) AS good_lost, count(*) FILTER (quality = 0 AND rejects) AS bad_lost
+  FROM so_far GROUP BY ALL
+), tested AS (
+  SELECT *, CASE WHEN lost >= good * 0.02 THEN 1.0 ELSE list_sum(list_transform(range(0, lost + 1),
+           lambda x: exp(lgamma(good + 1) - lgamma(x + 1) - lgamma(good - x + 1)
+                    + x * ln(0.02) + (good - x) * ln(0.98)))) END
+         <= 0.05 / (SELECT count(*) FROM (SELECT DISTINCT lang FROM sums)) AS passes,
+         bad_lost::DOUBLE / greatest(bad, 1) - good_lost::DOUBLE / greatest(good, 1) AS gain
+  FROM sums
+), certified AS (
+  SELECT *, bool_and(passes) OVER (PARTITION BY lang ORDER BY step) AS passed FROM tested
+), chosen AS (
+  SELECT lang, rule, cutoff FROM certified WHERE passed AND gain > 0
+  QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY gain DESC, step) = 1
+), rejected AS (
+  SELECT DISTINCT n FROM scored s JOIN chosen c ON s.lang IS NOT DISTINCT FROM c.lang
+  WHERE CASE rule WHEN 'symbols' THEN rate.symbols WHEN 'dup_lines' THEN rate.dup_lines
+                  WHEN 'repeats' THEN rate.repeats ELSE rate.echoes END > cutoff
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND n NOT IN (SELECT n FROM rejected) AS kept
+FROM scored
+"""
+
 ORACLE = {
     "op1_fixity": OP1,
     "op3_url_lists": OP3,
     "op6_mixing": OP6,
     "op7_near_dedup": OP7,
+    "op8_quality_rules": OP8,
     "op11_spelling_variants": OP11,
     "op12_importance_resampling": OP12,
     "op13_sanitisation": OP13,

@@ -132,6 +132,34 @@ def test_rules_share_one_risk(spark, documents):
     assert 0 < sum(not r.kept and r.doc_id < 5000 for r in rows) <= 14
 
 
+def test_copies_are_one_trial(spark, documents):
+    """250 good labels on copies of 5 texts certify nothing; 250 on distinct texts do."""
+    bad = [(5000 + i, prose(i, 30).replace(" ", " # ")) for i in range(30)]
+    for texts, certifies in ((5, False), (250, True)):
+        good = [(i, prose(i % texts, 30)) for i in range(250)]
+        labels = [(i, 1, 0) for i, _ in good] + [(i, 0, 0) for i, _ in bad]
+        labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        rows = quality_rules.judged(documents(*good, *bad, more=CLASHING), labels).collect()
+        assert [r.kept for r in rows if r.doc_id >= 5000] == [not certifies] * 30
+        assert all(r.kept for r in rows if r.doc_id < 5000)
+
+
+def test_sql_of_quality_rules(spark, tmp_path):
+    """The rows, every rule's decision included, are those of the SQL on given tables."""
+    import duckdb
+
+    from ringtally.llm import queries, sql
+
+    folder = "/root/testdata/sf0.001"
+    got = queries.op8_quality_rules(spark, folder)
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet')")
+    want = con.execute(sql.OP8)
+    assert [d[0] for d in want.description] == got.columns
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
 def test_binomial_tail(spark):
     from math import comb
 
