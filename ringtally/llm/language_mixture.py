@@ -7,14 +7,18 @@ the likelihood fastest is tried next, the proportions are found by EM, and it st
 log likelihood gains more than the penalty, PENALTY x log(trigrams) / 2. The document's
 language is the one with the largest proportion, which is its score.
 
-The model has languages x BUCKETS numbers, whatever the number of documents (refused beyond
-MOST_LANGUAGES); counting adds up in each task before the one shuffle.
+The model has languages x BUCKETS numbers, whatever the number of documents; counting adds up
+in each task before the one shuffle. Driver and workers hold AT_ONCE languages at a time. With
+more of them (say, a column of dirty values), blocks of AT_ONCE languages take turns to offer
+each text its next language, and every text carries its mixture so far from pass to pass: the
+same mixtures, at the price of blocks x rounds passes over the texts still open.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
@@ -22,10 +26,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringtally.llm.common import small_batches
+from ringtally.llm.common import ranged, small_batches, staged
 
 BUCKETS = 1 << 16
-MOST_LANGUAGES = 512
+AT_ONCE = 256
 SMOOTHING = 0.05
 PENALTY = 6.0
 ROUNDS = 20
@@ -51,42 +55,80 @@ def trigrams(text: str | None) -> np.ndarray:
     return (mixed >> np.uint64(48)).astype(np.int64)[is_letter[1:-1]]
 
 
+@dataclass
+class Growing:
+    """A text's mixture while it grows: the languages so far with their shares and their chances
+    of the text's trigrams, and the best language offered for the next step."""
+
+    languages: list[str] = field(default_factory=list)
+    shares: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    parts: np.ndarray | None = None  # distinct trigrams x languages
+    mixed: np.ndarray | None = None  # chances by the mixture
+    likelihood: float = 0.0
+    offer: tuple[float, str, np.ndarray] | None = None
+    done: bool = False
+
+    def consider(self, languages: list[str], chance: np.ndarray, n: np.ndarray) -> None:
+        """Offers the best of ``languages``: at first the likeliest, then the one that raises the
+        likelihood fastest."""
+        if self.languages:
+            merit = (n / self.mixed) @ chance / n.sum()
+            merit[[i for i, lang in enumerate(languages) if lang in self.languages]] = 0
+        else:
+            merit = n @ np.log(chance)
+        at = int(merit.argmax())
+        if self.offer is None or merit[at] > self.offer[0]:
+            self.offer = (float(merit[at]), languages[at], chance[:, at].copy())
+
+    def settle(self, n: np.ndarray) -> None:
+        """Takes the offer, or ends if it does not gain more than the penalty."""
+        if self.offer is None:
+            self.done = True
+            return
+        (merit, language, column), self.offer = self.offer, None
+        if not self.languages:
+            self.languages, self.shares, self.likelihood = [language], np.ones(1), merit
+            self.parts, self.mixed = column[:, None], column
+            return
+        total = n.sum()
+        self.done = merit <= 1
+        if self.done:
+            return
+        parts = np.column_stack([self.parts, column])
+        shares = np.append(self.shares * 0.9, 0.1)
+        for _ in range(ROUNDS):
+            weighted = parts * shares
+            shares = (n / weighted.sum(axis=1)) @ weighted / total
+        mixed = parts @ shares
+        likelihood = float(n @ np.log(mixed))
+        self.done = likelihood - self.likelihood <= PENALTY * np.log(total) / 2
+        if not self.done:
+            self.languages = [*self.languages, language]
+            self.shares, self.parts, self.mixed, self.likelihood = shares, parts, mixed, likelihood
+
+    def found(self) -> tuple[str, float, str]:
+        """Leading language, its share, and the mixture as text."""
+        mix = sorted(zip(self.languages, self.shares.tolist()), key=lambda x: (-x[1], x[0]))
+        first = mix[0] if mix else (UNKNOWN, 0.0)
+        return first[0], min(1.0, first[1]), " ".join(f"{k}:{v:.4f}" for k, v in mix)
+
+
 @dataclass
 class Model:
     languages: list[str]
     chances: np.ndarray  # buckets x languages
 
-    def mixture(self, text: str | None) -> dict[str, float]:
-        """Proportions of the languages found; none for a text without letters."""
+    def mixture(self, text: str | None) -> Growing:
+        """The languages found; none for a text without letters."""
+        growing = Growing()
         grams = trigrams(text)
-        if not len(grams) or not self.languages:
-            return {}
-        seen, n = np.unique(grams, return_counts=True)
-        chance = self.chances[seen]
-        total = len(grams)
-        likelihood = n @ np.log(chance)
-        chosen = [int(likelihood.argmax())]
-        best, shares, mixed = float(likelihood[chosen[0]]), np.ones(1), chance[:, chosen[0]]
-        penalty = PENALTY * np.log(total) / 2
-        while len(chosen) < len(self.languages):
-            slope = (n / mixed) @ chance / total
-            slope[chosen] = 0
-            new = int(slope.argmax())
-            if slope[new] <= 1:
-                break
-            tried = [*chosen, new]
-            parts = chance[:, tried]
-            trial = np.append(shares * 0.9, 0.1)
-            for _ in range(ROUNDS):
-                weighted = parts * trial
-                together = weighted.sum(axis=1)
-                trial = (n / together) @ weighted / total
-            together = parts @ trial
-            gained = float(n @ np.log(together))
-            if gained - best <= penalty:
-                break
-            chosen, best, shares, mixed = tried, gained, trial, together
-        return {self.languages[c]: float(s) for c, s in zip(chosen, shares)}
+        if len(grams) and self.languages:
+            seen, n = np.unique(grams, return_counts=True)
+            chance = self.chances[seen]
+            while not growing.done and len(growing.languages) < len(self.languages):
+                growing.consider(self.languages, chance, n)
+                growing.settle(n)
+        return growing
 
 
 def in_training() -> Column:
@@ -119,14 +161,10 @@ def counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame) -> Model:
-    """From documents with ``text`` and ``lang``; a language without any letter in its
-    training texts is not learned."""
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    rows = counts(known).toPandas()
+def model(rows: DataFrame) -> Model:
+    """The languages of ``rows`` (lang, bucket, n), AT_ONCE of them at most."""
+    rows = rows.toPandas()
     languages = sorted(rows["lang"].unique())
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the model is made for {MOST_LANGUAGES}")
     table = np.zeros((BUCKETS, len(languages)))
     where = {lang: i for i, lang in enumerate(languages)}
     table[rows["bucket"].to_numpy(int), rows["lang"].map(where).to_numpy(int)] = rows["n"]
@@ -134,32 +172,90 @@ def fit(docs: DataFrame) -> Model:
     return Model(languages, table / table.sum(axis=0))
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
+def blocks(rows: DataFrame) -> Iterator[DataFrame]:
+    """``rows`` by blocks of AT_ONCE languages at most, in order of the languages. The driver
+    sees a row per block."""
+    named = ranged(rows.select("lang").distinct(), [F.col("lang")], "languages")
+    named = named.select("lang", "part", F.floor(F.col("at") / AT_ONCE).alias("block"))
+    for part, block in sorted(map(tuple, named.select("part", "block").distinct().collect())):
+        inside = named.where((F.col("part") == part) & (F.col("block") == block))
+        yield rows.join(inside.select("lang"), "lang", "left_semi")
+
+
+FOUND = "lang_pred string, score double, mixture string"
+
+
+def identify(docs: DataFrame, known: Model) -> DataFrame:
     """Adds ``found``: lang_pred, score and the mixture as text. Only the text decides."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
-    @F.pandas_udf("lang_pred string, score double, mixture string")
+    @F.pandas_udf(FOUND)
     def find(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            mix = sorted(shared.value.mixture(text).items(), key=lambda x: (-x[1], x[0]))
-            first = mix[0] if mix else (UNKNOWN, 0.0)
-            rows.append((first[0], min(1.0, first[1]), " ".join(f"{k}:{v:.4f}" for k, v in mix)))
+        rows = [shared.value.mixture(text).found() for text in texts]
         return pd.DataFrame(rows, columns=["lang_pred", "score", "mixture"])
 
     return docs.withColumn("found", find("text"))
 
 
+def identify_by_blocks(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """What ``identify`` returns, with one block of languages in memory at a time."""
+    parts = list(blocks(rows))
+    columns, settled = docs.columns, []
+    open_docs = docs.withColumn("state", F.lit(None).cast("binary"))
+    while True:
+        for i, part in enumerate(parts):
+            step = advanced(open_docs, model(part), last=i == len(parts) - 1)
+            open_docs = staged(step, "languages-open")
+        ended = open_docs.where("found IS NOT NULL").select(*columns, "found")
+        settled.append(ended)
+        open_docs = open_docs.where("found IS NULL").drop("found")
+        if open_docs.isEmpty():
+            break
+    out = settled[0]
+    for one in settled[1:]:
+        out = out.unionByName(one)
+    return out
+
+
+def advanced(docs: DataFrame, known: Model, last: bool) -> DataFrame:
+    """Every text's ``state`` after the offers of a block; the last block of a round settles,
+    and mixtures that ended get ``found``."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
+    @F.pandas_udf(f"state binary, found struct<{FOUND.replace(' ', ':').replace(',:', ',')}>")
+    def advance(texts: pd.Series, states: pd.Series) -> pd.DataFrame:
+        out = []
+        for text, state in zip(texts, states):
+            growing = Growing() if state is None else pickle.loads(state)
+            grams = trigrams(text)
+            seen, n = np.unique(grams, return_counts=True)
+            if len(grams):
+                growing.consider(shared.value.languages, shared.value.chances[seen], n)
+            if last:
+                growing.settle(n)
+            found = dict(zip(("lang_pred", "score", "mixture"), growing.found())) if growing.done else None
+            out.append((pickle.dumps(growing), found))
+        return pd.DataFrame(out, columns=["state", "found"])
+
+    others = [c for c in docs.columns if c != "state"]
+    step = docs.withColumn("step", advance("text", "state"))
+    return step.select(*others, "step.state", *(["step.found"] if last else []))
+
+
 def languages(docs: DataFrame) -> DataFrame:
     """Every document with ``held_out`` and its prediction, learned from the documents that
-    are not held out. A NULL text, or one without a letter, is ``und`` with score 0, as is
+    are not held out. A language without any letter in its training texts is not learned. A
+    NULL text, or one without a letter, is ``und`` with score 0, as is
     everything if nothing could be learned. A NULL id is neither held out nor learned from.
     Repeated rows are predicted alike. ``row`` is the document with all its columns."""
     small_batches(docs.sparkSession)
     fold = in_training()
-    model = fit(docs.where(fold != 0).select("lang", "text"))
+    learned = docs.where(fold != 0).where("lang IS NOT NULL AND text IS NOT NULL")
+    sums = staged(counts(learned.select("lang", "text")), "language-counts")
     rows = docs.select("text", F.struct("*").alias("row"), F.coalesce(fold == 0, F.lit(False)).alias("held_out"))
-    return identify(rows, model).select("row", "held_out", "found.*")
+    few = sums.select("lang").distinct().count() <= AT_ONCE
+    found = identify(rows, model(sums)) if few else identify_by_blocks(rows, sums)
+    return found.select("row", "held_out", "found.*")
 
 
 def identified_documents(docs: DataFrame, least: float = 0.5) -> DataFrame:

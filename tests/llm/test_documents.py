@@ -1,5 +1,6 @@
 """Operators over documents against direct computations on small inputs."""
 
+import math
 import random
 import re
 import zlib
@@ -280,6 +281,64 @@ def test_languages(documents):
     assert got[None].held_out is False and got[None].lang_pred == "so"
 
 
+def direct_mixture(text, counts):
+    """The same method with plain dictionaries: trigram counts per language in, shares out."""
+    grams = Counter(language_mixture.trigrams(text).tolist())
+    total = sum(grams.values())
+
+    def chance(lang, g):
+        return (counts[lang][g] + 0.05) / (sum(counts[lang].values()) + 0.05 * 65536)
+
+    def likelihood(shares):
+        return sum(n * math.log(sum(p * chance(k, g) for k, p in shares.items())) for g, n in grams.items())
+
+    shares = {max(sorted(counts), key=lambda k: likelihood({k: 1.0})): 1.0}
+    while len(shares) < len(counts):
+        def slope(k):
+            return sum(n * chance(k, g) / sum(p * chance(x, g) for x, p in shares.items()) for g, n in grams.items()) / total
+
+        new = max((k for k in sorted(counts) if k not in shares), key=slope)
+        if slope(new) <= 1:
+            break
+        trial = {**{k: 0.9 * p for k, p in shares.items()}, new: 0.1}
+        for _ in range(20):
+            sums = dict.fromkeys(trial, 0.0)
+            for g, n in grams.items():
+                parts = {k: p * chance(k, g) for k, p in trial.items()}
+                for k in parts:
+                    sums[k] += n * parts[k] / sum(parts.values())
+            trial = {k: v / total for k, v in sums.items()}
+        if likelihood(trial) - likelihood(shares) <= 6 * math.log(total) / 2:
+            break
+        shares = trial
+    return shares
+
+
+@pytest.mark.parametrize("at_once", [256, 2])
+def test_mixtures_against_direct_computation(documents, monkeypatch, at_once):
+    """Languages that share letters; all at once and in blocks of two."""
+    monkeypatch.setattr(language_mixture, "AT_ONCE", at_once)
+    alphabets = {"a": "abcdefgh", "b": "efghijkl", "c": "ghijmnop", "d": "abcxyz", "e": "éüab"}
+    rows = [(i, prose(i, 40, letters), lang) for j, (lang, letters) in enumerate(alphabets.items()) for i in range(20 * j, 20 * j + 20)]
+    mixed = [" ".join(prose(7 * i + j, 8 + 9 * (i % 3 + j), alphabets[k]) for j, k in enumerate(ks)) for i, ks in
+             enumerate(("ab", "bc", "abc", "de", "ace", "abcde", "e", "d", "ca"))]
+    rows += [(1000 + i, t, None) for i, t in enumerate(mixed)] + [(1100, None, "a"), (1101, "12", "b"), (1000, mixed[0], None)]
+    counts = {k: Counter() for k in alphabets}
+    for i, text, lang in rows:
+        if lang and text and zlib.crc32(str(i).encode()) % 5:
+            counts[lang].update(language_mixture.trigrams(text).tolist())
+    got = language_mixture.languages(documents(*rows, more=CLASHING)).collect()
+    assert Counter(r.row.doc_id for r in got) == Counter(r[0] for r in rows)
+    assert len({len(r.mixture.split()) for r in got}) > 3
+    for r in got:
+        want = direct_mixture(r.row.text, counts) if len(language_mixture.trigrams(r.row.text)) else {}
+        have = dict(x.split(":") for x in r.mixture.split())
+        assert set(have) == set(want)
+        assert all(float(have[k]) == pytest.approx(want[k], abs=1e-4) for k in want)
+        first = max(want, key=want.get) if want else "und"
+        assert (r.lang_pred, r.score) == (first, pytest.approx(want.get(first, 0.0)))
+
+
 def test_nothing_to_learn_from(documents):
     rows = language_mixture.languages(documents((1, "abc", None), (2, "def", None))).collect()
     assert [(r.lang_pred, r.score) for r in rows] == [("und", 0.0)] * 2
