@@ -199,8 +199,10 @@ def drop_repeats(events: DataFrame, watermark: str = WATERMARK, spread: int = 16
             )
         once = marked.dropDuplicatesWithinWatermark(["event_id"])
         return once.unionByName(timed.filter(F.col("event_id").isNull()))
-    # Hardly any id repeats: only ids are counted, and only the rows of repeated ones sorted.
-    repeated = repeated_ids(events)
+    # Hardly any id repeats: only ids are counted, and only the rows of repeated ones sorted. The
+    # joins look the repeated ids up in a hash table, past which the other rows stream; a sort
+    # would hold both sides of a task in memory.
+    repeated = repeated_ids(events).hint("shuffle_hash")
     rest = ["timestamp"] + [c for c in events.columns if c not in ("event_id", "timestamp")]
     several = events.join(repeated, "event_id", "left_semi")
     first = several.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("first"))

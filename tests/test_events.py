@@ -208,3 +208,19 @@ def test_conform_refuses_what_does_not_fit(spark):
 def test_rows_without_id_are_no_copies(spark):
     rows = [event(None, duration_seconds=1), event(None, duration_seconds=2), event("a"), event("a")]
     assert ev.drop_repeats(frame(spark, *rows)).count() == 3
+
+
+def test_removing_repeats_sorts_no_whole_table(spark, folder):
+    """Also where the repeated ids are too many to send to every task."""
+    rows = spark.range(4000).selectExpr("CAST(id % 3000 AS STRING) AS event_id", "id AS n")
+    path = f"{folder}/events"
+    rows.withColumn("timestamp", F.timestamp_seconds(F.col("n"))).write.parquet(path)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        once = ev.drop_repeats(spark.read.parquet(path))
+        assert sorted(r.n for r in once.collect()) == list(range(3000))
+        plan = once._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
