@@ -212,22 +212,48 @@ def drop_repeats(events: DataFrame, watermark: str = WATERMARK, spread: int = 16
     return once.unionByName(events.join(repeated, "event_id", "left_anti").select(*events.columns))
 
 
-def drop_repeats_in_windows(events: DataFrame, size: str, spread: int = 16) -> DataFrame:
+def drop_repeats_in_windows(
+    events: DataFrame, size: str, spread: int = 16, all_named: bool = False
+) -> DataFrame:
     """A stream (that carries a watermark) with one row per ``event_id`` and window of ``size``,
     for metrics over such windows. Ids are kept until their window closes: repeats may come as
     late as the window takes rows, and a late row is dropped with its window, not before. Each
     dropped row counts in the query's progress. Adds the window, by which metrics group then;
-    rows without a time are in none. ``spread`` as in ``drop_repeats``."""
+    rows without a time are in none.
+
+    One stateful step does it. Copies of an id that follow each other closely in a task are
+    dealt out to ``spread`` groups of their own, so that no task gets all copies of a frequent
+    id, and are left out afterwards; every id and window has a row outside of them.
+    ``spread=1`` saves the look at the rows where no id has many copies.
+
+    ``all_named`` tells that every row has an id: the source is then read once. Otherwise rows
+    without an id are read from it by themselves."""
     # A stream has one column of event time: from here on it is the window.
     plain_time = (F.col("timestamp") + F.expr("INTERVAL 0 SECONDS")).alias("timestamp")
     rest = [plain_time if c == "timestamp" else F.col(c) for c in events.columns]
     timed = events.select(*rest, F.window("timestamp", size).alias(OF_WINDOW))
-    marked = timed.filter(F.col("event_id").isNotNull())
+    named = timed if all_named else timed.filter(F.col("event_id").isNotNull())
     if spread > 1:
+        # A fixed seed: a task that is run again marks its rows the same way.
         group = F.floor(F.rand(seed=17) * spread).cast("int")
-        marked = marked.withColumn("copy_group", group).dropDuplicates(["event_id", OF_WINDOW, "copy_group"])
-    once = marked.dropDuplicates(["event_id", OF_WINDOW]).select(*timed.columns)
-    return once.unionByName(timed.filter(F.col("event_id").isNull()))
+        follows = _follows(F.col("event_id"), F.unix_micros(F.col(OF_WINDOW)["start"]))
+        marked = named.withColumn("copy_group", F.when(follows, group))
+        once = marked.dropDuplicates(["event_id", OF_WINDOW, "copy_group"]).filter(F.col("copy_group").isNull())
+    else:
+        once = named.dropDuplicates(["event_id", OF_WINDOW])
+    once = once.select(*timed.columns)
+    return once if all_named else once.unionByName(timed.filter(F.col("event_id").isNull()))
+
+
+def _follows(*key: Column) -> Column:
+    """Whether the rows that are handed over together (some thousands) hold the key before."""
+
+    def repeats(*columns):  # an inner function: workers need not have this package
+        import pandas as pd
+
+        return pd.concat(columns, axis=1).duplicated()
+
+    return F.pandas_udf(repeats, "boolean", F.PandasUDFType.SCALAR).asNondeterministic()(*key)
 
 
 def repeated_ids(events: DataFrame) -> DataFrame:

@@ -139,7 +139,8 @@ def start_streams(
             counted = exact_amounts(split_by_rules(events, forgiven)[0])
             if mode == "append":
                 timed = counted.withWatermark("timestamp", WATERMARK)
-                frame = metric(drop_repeats_in_windows(timed, size), watermark=None)
+                once = drop_repeats_in_windows(timed, size, all_named=validated)  # others are refused
+                frame = metric(once, watermark=None)
             else:  # no other state may come before totals so far
                 frame = metric(counted)
             every, sink = metrics_every, state_sink(store)

@@ -66,14 +66,20 @@ def state_sink(store: Store) -> Sink:
     so far) replace the ones their query stored before."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        piece = load_id(batch, batch_id)
-        query = piece.rpartition("-")[0]
-        rows = batch.withColumns({"query_id": F.lit(query), "batch_id": F.lit(batch_id)})
-        timed = F.col("window_start").isNotNull()
-        store.load("window_states", rows.filter(timed), piece, layout=None)
-        store.load("window_states", rows.filter(~timed), query, layout=None)
+        # Kept, and first read as a whole: each further pass would update the state once more.
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            timed = F.col("window_start").isNotNull()
+            found = {r.timed for r in kept.select(timed.alias("timed")).distinct().collect()}
+            piece = load_id(batch, batch_id)
+            query = piece.rpartition("-")[0]
+            rows = kept.withColumns({"query_id": F.lit(query), "batch_id": F.lit(batch_id)})
+            if True in found:
+                store.load("window_states", rows.filter(timed), piece, layout="repartition")
+            if False in found:
+                store.load("window_states", rows.filter(~timed), query, layout="repartition")
+        finally:
+            kept.unpersist()
 
     return write
 

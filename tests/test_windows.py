@@ -21,8 +21,8 @@ from ringtally.plans import windows
 from ringtally.schema import Limits
 from ringtally.sources.sample import usage_events
 from ringtally.sources.store import Store
-from ringtally.streaming.jobs import await_all, start, start_streams
-from ringtally.streaming.sinks import archive_sink
+from ringtally.streaming.jobs import await_all, drain, start, start_streams
+from ringtally.streaming.sinks import archive_sink, state_sink
 from ringtally.streaming.runlog import StreamTotals, log_stream
 from tests.rows import at, event, frame
 from tests.test_streams import FOLDER, Inbox, ids, wire
@@ -123,6 +123,43 @@ def test_repeats_count_once_in_windows(spark, store, inbox, folder):
     assert counts(windows.stored_metrics(store)) == {at(0): 2}
 
 
+def test_each_id_is_held_once_and_read_once(spark, store, inbox, folder):
+    """Two stateful steps, also where copies of one id are frequent."""
+    inbox.put(*[wire("hot", at(0))] * 50, wire("a", at(1)), wire("hot", at(6)))
+    inbox.put(wire("hot", at(0)), wire("b", at(1)), wire(None, at(1)))
+    inbox.put(wire("end", at(30)))
+    queries = start_streams(inbox.stream(spark), store, folder + "/cp", ("metrics_5min",), continuous=False)
+    await_all(queries)
+    batches = queries[0].recentProgress
+    assert {len(b["stateOperators"]) for b in batches} == {2}
+    assert sum(b["numInputRows"] for b in batches) == 56
+    assert counts(windows.stored_metrics(store)) == {at(0): 3, at(5): 1}
+
+
+@pytest.mark.parametrize("spread", [1, 16])
+def test_rows_without_id_count_each(spark, inbox, spread):
+    inbox.put(*[wire("a", at(0))] * 30, wire(None, at(0)), wire(None, at(0)))
+    inbox.put(wire("a", at(0)), wire(None, at(0)), wire("end", at(30)))
+    timed = ev.exact_amounts(inbox.stream(spark)).withWatermark("timestamp", "1 minute")
+    once = ev.drop_repeats_in_windows(timed, "5 minutes", spread=spread)
+    got = drain(spark, event_type_metrics(once, watermark=None))
+    assert {r.window_start: r.count_events for r in got.collect()} == {at(0): 4}
+
+
+def test_a_batch_of_states_is_computed_once(spark, store):
+    passes = spark.sparkContext.accumulator(0)
+
+    def seen(tag):
+        passes.add(1)
+        return tag
+
+    rows = frame(spark, *[event(f"e{i}", time=at(5 * i)) for i in range(6)])
+    states = event_type_states(rows).withColumn("metric_type", F.udf(seen)("metric_type"))
+    state_sink(store)(states, 0)
+    assert passes.value == 6
+    assert counts(windows.stored_metrics(store)) == {at(5 * i): 1 for i in range(6)}
+
+
 def test_late_events_are_counted_and_kept(spark, store, inbox, folder):
     """As Spark drops them: a batch closes windows, and the batches after it drop their rows."""
     inbox.put(wire("a", at(1)), wire("b", at(8)))  # watermark 12:07
