@@ -268,10 +268,18 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Every document's ``ids`` and the bytes ``decoded`` from them, after its own columns
-    (as struct ``row``). Documents may repeat or be NULL; an empty table gives none."""
+    (as struct ``row``). Documents may repeat or be NULL; an empty table gives none. One call
+    returns both: Spark would chain a call of ``decode`` to a second ``encode`` of the text."""
     small_batches(docs.sparkSession)
-    encoded = docs.select(F.struct("*").alias("row"), encode(docs["text"], path, pattern).alias("ids"))
-    return encoded.withColumn("decoded", decode(encoded["ids"], path, pattern))
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def there_and_back(texts: pa.Array) -> pa.Array:
+        known = vocabulary(path, pattern)
+        ids = known.encode(texts.to_pylist())
+        return pa.StructArray.from_arrays([ids, known.decode(ids)], ["ids", "decoded"])
+
+    coded = docs.select(F.struct("*").alias("row"), there_and_back(docs["text"]).alias("coded"))
+    return coded.select("row", "coded.ids", "coded.decoded")
 
 
 def digests(tokens: DataFrame) -> DataFrame:

@@ -257,6 +257,26 @@ def test_ids_are_those_of_the_library(documents):
         assert bytes(r.decoded) == text.encode()
 
 
+def test_texts_are_encoded_once(spark, documents, tmp_path):
+    """The bytes come from the ids the caller gets, not from a second encoding of the text."""
+    import pstats
+
+    coded = byte_bpe.round_trip(documents(*enumerate(TEXTS)).coalesce(1), *tokenizer())
+    spark.profile.clear(type="perf")
+    spark.conf.set("spark.sql.pyspark.udf.profiler", "perf")
+    try:
+        assert len(byte_bpe.digests(coded).collect()) == len(TEXTS)
+    finally:
+        spark.conf.unset("spark.sql.pyspark.udf.profiler")
+    spark.profile.dump(str(tmp_path), type="perf")
+    calls = Counter()
+    for profile in tmp_path.glob("*.pstats"):
+        for (file, _, name), (_, n, *_) in pstats.Stats(str(profile)).stats.items():
+            if file.endswith("byte_bpe.py"):
+                calls[name] += n
+    assert calls["encode"] == calls["decode"] == 1
+
+
 def test_long_pieces_merge_like_rows():
     import numpy as np
 
